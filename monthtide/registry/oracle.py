@@ -454,5 +454,5 @@ SELECT family, round(rmse, 6) AS rmse, family = (SELECT family FROM best) AS cho
             """SELECT format('Prediction for {}-{} is {}', month("Date"), year("Date"),
   CAST(prediction AS BIGINT)) AS line FROM forecast""",
         ),
-        **tree_queries(overall, category_ctes),
+        **tree_queries(overall, category_ctes, (TEST_AFTER, TRAIN_BEFORE), METRICS),
     }
