@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -51,45 +53,53 @@ def with_active_months(series: DataFrame) -> DataFrame:
     )
 
 
+def nominal(column: Column, name: str, n_values: int) -> Column:
+    """Mark a column as a category index, so that trees split it as a set."""
+    attribute = {"ml_attr": {"type": "nominal", "name": name, "num_vals": max(n_values, 1)}}
+    return column.alias(name, metadata=attribute)
+
+
 def category_index(
-    series: DataFrame, n_categories: int, one_task_rows: int = ONE_TASK_ROWS
+    series: DataFrame, bounds: Bounds, one_task_rows: int = ONE_TASK_ROWS
 ) -> DataFrame:
     """``category, category_idx``: 0 for the category active in most months.
 
-    Ties are in category order. ``series`` has ``active_months``. No category passes
-    through the driver.
+    Ties are in category order; a null category raises. ``series`` has
+    ``active_months``. No category passes through the driver.
     """
+    if bounds.null_categories:
+        raise ValueError("the category column has nulls; drop them or fill them first")
     ranked = rank_rows(
         categories(series, "active_months"),
         [F.desc("active_months"), F.asc("category")],
         "category_idx",
-        n_categories,
+        bounds.categories,
         one_task_rows,
     )
-    return ranked.select("category", F.col("category_idx").cast("double"))
+    index = F.col("category_idx").cast("double")
+    return ranked.select("category", nominal(index, "category_idx", bounds.categories))
 
 
-def nominal(column: Column, name: str, n_values: int) -> Column:
-    """Mark a column as a category index, so that trees split it as a set."""
-    attribute = {"ml_attr": {"type": "nominal", "name": name, "num_vals": max(n_values, 1)}}
-    return column.alias(name, metadata=attribute)
+def add_category_index(series: DataFrame, index: DataFrame) -> DataFrame:
+    """Join the index onto the series.
+
+    The index is one row per category: adaptive execution broadcasts it when it turns
+    out small enough and shuffles both sides by category when not.
+    """
+    return series.drop("active_months").join(index, "category")
 
 
-def add_category_index(
-    series: DataFrame, bounds: Bounds, one_task_rows: int = ONE_TASK_ROWS
-) -> DataFrame:
-    """Join the index onto the series; a null category raises.
+def index_range(indexed: DataFrame, low: float, high: float) -> DataFrame:
+    """Rows of the categories with ``low <= category_idx < high``.
 
-    The index side is one row per category: adaptive execution broadcasts it when it
-    turns out small enough and shuffles both sides by category when not.
+    The index is marked anew with the fewer values left, as a tree needs a row for each.
     """
-    if bounds.null_categories:
-        raise ValueError("the category column has nulls; drop them or fill them first")
-    index = category_index(series, bounds.categories, one_task_rows)
-    kept = [c for c in series.columns if c != "active_months"]
-    return series.join(index, "category").select(
-        *kept, nominal(F.col("category_idx"), "category_idx", bounds.categories)
+    index = F.col("category_idx")
+    others = [c for c in indexed.columns if c not in ("category_idx", "features")]
+    kept = indexed.where((index >= low) & (index < high)).select(
+        *others, nominal(index, "category_idx", math.ceil(high))
     )
+    return assemble(kept)
 
 
 def assemble(df: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -15,7 +15,7 @@ def check_horizon(horizon: int) -> int:
 
 
 def future_frame(
-    start: DataFrame | SparkSession,
+    start: DataFrame,
     last_month: dt.date,
     last_id: int,
     horizon: int,
@@ -23,13 +23,12 @@ def future_frame(
 ) -> DataFrame:
     """``id, month`` of the next months, for every row of ``start``.
 
-    ``start`` is one row per category, or a session for the overall series. Each row
+    ``start`` is one row per category, or one empty row for the overall series. Each row
     is exploded in place, so the product of categories and months needs no join.
     """
-    rows = start.range(1, numPartitions=1).select() if isinstance(start, SparkSession) else start
     steps = F.sequence(F.lit(first_step), F.lit(first_step + check_horizon(horizon) - 1))
-    return rows.select("*", F.explode(steps).alias("step")).select(
-        *rows.columns,
+    return start.select("*", F.explode(steps).alias("step")).select(
+        *start.columns,
         (F.lit(last_id) + F.col("step")).cast("double").alias("id"),
         F.add_months(F.lit(last_month), F.col("step")).alias("month"),
     )

@@ -10,6 +10,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from monthtide.functions.calendar import event_date, month_start
 
@@ -24,12 +25,16 @@ def monthly_counts(df: DataFrame, date_col: str, by: str | None = None) -> DataF
     month = month_start(event_date(df, date_col)).alias("month")
     if by is None:
         return df.select(month).groupBy("month").agg(F.count("month").alias("n"))
-    category = F.col(f"`{by}`").cast("string").alias("category")
-    return (
+    category = F.col(f"`{by}`").alias("category")
+    if not isinstance(df.schema[by].dataType, T.IntegralType):
+        category = category.cast("string").alias("category")
+    counts = (
         df.select(month, category)
         .groupBy("month", "category")
         .agg(F.count("category").alias("n"))
     )
+    # Whole numbers are grouped as such and only the groups turned into text.
+    return counts.withColumn("category", F.col("category").cast("string"))
 
 
 def number_months(counts: DataFrame) -> DataFrame:
@@ -60,11 +65,6 @@ def holdout(
     return series.where(F.col("month") < F.lit(train_before)), test
 
 
-def index_range(indexed: DataFrame, low: float, high: float) -> DataFrame:
-    """Rows of the categories with ``low <= category_idx < high``."""
-    return indexed.where((F.col("category_idx") >= low) & (F.col("category_idx") < high))
-
-
 def categories(series: DataFrame, *extra: str) -> DataFrame:
     """Each category once. Month number 1 exists once per category: no shuffle."""
     return series.where(F.col("id") == 1).select("category", *extra)

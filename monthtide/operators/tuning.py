@@ -89,8 +89,10 @@ def cross_validate(
 def tune_tree(
     data: DataFrame, max_id: int, n_categories: int, depths: tuple[int, ...] = TREE_DEPTHS
 ) -> Tuned:
-    """Decision tree, its depth chosen by cross-validation."""
-    check_tree_rows(data, n_categories)
+    """Decision tree, its depth chosen by cross-validation.
+
+    See ``check_tree_rows`` for what ``data`` must hold.
+    """
     estimator = tree_estimator()
     grid = (
         ParamGridBuilder()
@@ -109,7 +111,10 @@ def tune_generalized_linear(data: DataFrame, families: tuple[str, ...] = GLR_FAM
 
 
 def check_tree_rows(data: DataFrame, n_categories: int, folds: int = FOLDS) -> None:
-    """A tree has at most as many bins as rows, and needs one bin per category."""
+    """Raise if the folds are too small for a tree.
+
+    It has at most as many bins as training rows, and needs one bin per category.
+    """
     in_fold = [F.count(F.when(F.col("fold") == k, 1)).alias(f"fold_{k}") for k in range(folds)]
     counts = data.agg(*in_fold).first()
     fewest = sum(counts) - max(counts)

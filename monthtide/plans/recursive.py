@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from monthtide.operators.features import assemble
 from monthtide.operators.future import check_horizon, feedback_union, future_frame
-from monthtide.operators.tuning import TREE_DEPTHS, add_fold, tune_tree
+from monthtide.operators.tuning import TREE_DEPTHS, add_fold, check_tree_rows, tune_tree
 from monthtide.plans.finish import finish
 from monthtide.plans.training import MonthlySeries
 
@@ -30,6 +30,7 @@ def forecast_recursive(
     steps: list[DataFrame] = []
     with series.cached():
         training = series.frame
+        check_tree_rows(training, bounds.categories)
         for step in range(1, horizon + 1):
             tuned = tune_tree(training, bounds.last_id + step - 1, bounds.categories)
             future = future_frame(

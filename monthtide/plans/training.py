@@ -9,15 +9,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthtide.operators.features import add_category_index, assemble
-from monthtide.operators.series import (
-    Bounds,
-    categories,
-    monthly_counts,
-    number_months,
-    series_bounds,
+from monthtide.operators.features import (
+    add_category_index,
+    assemble,
+    category_index,
+    with_active_months,
 )
-from monthtide.operators.features import with_active_months
+from monthtide.operators.series import Bounds, monthly_counts, number_months, series_bounds
 from monthtide.operators.tuning import add_fold
 from monthtide.shared import settle
 from monthtide.sources.tables import require_date_column, resolve_dimension
@@ -30,28 +28,25 @@ MAX_PARTITIONS = 2_000
 class MonthlySeries:
     """``month, [category], n, id, [category_idx], features, fold`` and its bounds.
 
-    ``by`` is the table's name of the category column, None for the overall series.
+    ``starts`` is what a forecast starts from: each category with its index once, or one
+    empty row. ``by`` is the table's name of the category column, None overall.
     """
 
     frame: DataFrame
+    starts: DataFrame
     by: str | None
     bounds: Bounds
 
-    @property
-    def starts(self) -> DataFrame:
-        """What a forecast starts from: one row per category, or one empty row."""
-        if self.by is None:
-            return self.frame.sparkSession.range(1, numPartitions=1).select()
-        return categories(self.frame, "category_idx")
-
     @contextmanager
     def cached(self) -> Iterator[MonthlySeries]:
-        """Keep the frame in memory while several fits read it."""
+        """Keep the frames in memory while several fits read them."""
         self.frame.persist()
+        self.starts.persist()
         try:
             yield self
         finally:
             self.frame.unpersist()
+            self.starts.unpersist()
 
 
 def build_series(
@@ -77,8 +72,14 @@ def build_series(
     bounds = series_bounds(counted)
     if not bounds.rows:
         raise ValueError("the table has no rows to count")
-    indexed = counted if column is None else add_category_index(counted, bounds)
-    return MonthlySeries(add_fold(assemble(lay_out(indexed, bounds.rows))), column, bounds)
+    if column is None:
+        starts = df.sparkSession.range(1, numPartitions=1).select()
+        indexed = counted
+    else:
+        starts = category_index(counted, bounds)
+        indexed = add_category_index(counted, starts)
+    frame = add_fold(assemble(lay_out(indexed, bounds.rows)))
+    return MonthlySeries(frame, starts, column, bounds)
 
 
 def lay_out(series: DataFrame, rows: int) -> DataFrame:

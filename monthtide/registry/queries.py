@@ -22,13 +22,18 @@ from monthtide.functions.calendar import (
 )
 from monthtide.functions.numeric import clamp_negative, round_half_up
 from monthtide.operators import models
-from monthtide.operators.features import add_category_index, bin_count, with_active_months
+from monthtide.operators.features import (
+    add_category_index,
+    bin_count,
+    category_index,
+    index_range,
+    with_active_months,
+)
 from monthtide.operators.future import feedback_union, future_frame
 from monthtide.operators.metrics import mae, metrics_frame, r2, rmse
 from monthtide.operators.series import (
     bounds_frame,
     holdout,
-    index_range,
     monthly_counts,
     number_months,
     series_bounds,
@@ -294,8 +299,8 @@ def category_index_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def category_index_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The index by a distributed sort, as for more categories than one task ranks."""
     sparse = settle(with_active_months(sparse_month_index_by_customer(spark, sf_dir)))
-    indexed = add_category_index(sparse, series_bounds(sparse), one_task_rows=100)
-    return indexed.select("month", "category", "id", "category_idx")
+    index = category_index(sparse, series_bounds(sparse), one_task_rows=100)
+    return add_category_index(sparse, index).select("month", "category", "id", "category_idx")
 
 
 @query
@@ -480,7 +485,11 @@ def deep_tree_two_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = category_series(spark, sf_dir, "supplier")
     train = index_range(series.frame, 0.0, 2.0)
     test = train.where(F.col("month") > F.lit(TEST_AFTER))
-    return tree_rows(series, models.MAX_DEPTH, train, test).withColumn(
+    bins = bin_count(series.bounds.last_id, 2)
+    predicted = fitted_rows(
+        series, lambda df: models.tree(df, models.MAX_DEPTH, bins), train, test
+    )
+    return predicted.withColumn(
         "prediction", rounded("prediction")
     )
 
