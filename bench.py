@@ -15,11 +15,11 @@ from pyspark.sql import SparkSession
 from monthtide.registry.queries import registered
 
 HEADLINE = (
-    "monthly_counts_overall",
+    "monthly_counts",
     "monthly_counts_by_supplier",
     "csv_monthly_counts_by_priority",
     "month_index_by_category",
-    "category_index_by_supplier",
+    "category_index",
     "category_index_by_customer",
     "future_frame_by_category",
     "ols_forecast_overall",

@@ -39,8 +39,11 @@ class MonthlySeries:
 
     @contextmanager
     def cached(self) -> Iterator[MonthlySeries]:
-        """Keep the frames in memory while several fits read them."""
-        self.frame.persist()
+        """Keep the frames in memory while several fits read them.
+
+        Filled here once, not by each of the fits that start at the same time.
+        """
+        self.frame.persist().count()
         self.starts.persist()
         try:
             yield self

@@ -324,19 +324,19 @@ def sql() -> dict[str, str]:
         "parse_month_key": """
 SELECT CAST(o_orderkey AS VARCHAR) AS order_key,
        CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS month_key FROM orders""",
-        "month_key_to_first_day": """
+        "month_key_to_date": """
 SELECT o_orderkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month FROM orders""",
         "truncate_to_month": """
 SELECT l_orderkey, l_linenumber, CAST(date_trunc('month', l_shipdate) AS DATE) AS month
 FROM lineitem""",
-        "round_to_whole": """
+        "round_half_up": """
 SELECT c_custkey, round(c_acctbal, 0) AS whole,
        floor(c_acctbal) + CASE WHEN floor(c_acctbal) >= 0 THEN 1 ELSE 0 END AS whole_of_half
 FROM customer""",
-        "clamp_negative_balances": """
+        "clamp_negative": """
 SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 0.0 ELSE c_acctbal END AS clamped,
        CASE WHEN c_acctbal > 5000 THEN c_acctbal ELSE 0.0 END AS clamped_or_zero FROM customer""",
-        "monthly_counts_overall": select_from(overall, "SELECT month, n FROM counts"),
+        "monthly_counts": select_from(overall, "SELECT month, n FROM counts"),
         "monthly_counts_by_priority": counts_sql("priority"),
         "monthly_counts_by_status": counts_sql("status"),
         "monthly_counts_by_returnflag": counts_sql("returnflag"),
@@ -352,10 +352,10 @@ FROM orders GROUP BY 1, 2""",
         "sparse_month_index_by_customer": select_from(
             category_ctes("customer"), "SELECT month, category, n, id FROM numbered"
         ),
-        "bounds_overall": select_from(
+        "series_bounds": select_from(
             overall, BOUNDS.format(categories="CAST(1 AS BIGINT)", nulls="0", frame="series")
         ),
-        "bounds_by_category": select_from(
+        "series_bounds_by_category": select_from(
             category_ctes("supplier"),
             BOUNDS.format(
                 categories="count(DISTINCT category)",
@@ -366,7 +366,7 @@ FROM orders GROUP BY 1, 2""",
         "distinct_categories": select_from(
             category_ctes("supplier"), "SELECT DISTINCT category, category_idx FROM series"
         ),
-        "bin_counts": bins_sql(),
+        "bin_count": bins_sql(),
         "holdout_split": select_from(
             overall,
             f"""SELECT month, n, id, 'train' AS part FROM series WHERE month < {TRAIN_BEFORE}
@@ -377,7 +377,7 @@ SELECT month, n, id, 'test' FROM series WHERE month > {TEST_AFTER}""",
             category_ctes("supplier"),
             "SELECT month, category, n, id, category_idx FROM series WHERE category_idx IN (0, 1)",
         ),
-        "category_index_by_supplier": select_from(
+        "category_index": select_from(
             category_ctes("supplier"), "SELECT month, category, n, id, category_idx FROM series"
         ),
         "category_index_by_customer": select_from(
@@ -402,7 +402,7 @@ FROM (SELECT max(month) AS last_month, max(id) AS last_id FROM series),
      (SELECT DISTINCT category, category_idx FROM series),
      generate_series(1, 12) AS g(step)""",
         ),
-        "feedback_training_rows": select_from(
+        "feedback_union": select_from(
             category_ctes("priority"),
             """SELECT month, category, category_idx, CAST(id AS DOUBLE) AS id,
   CAST(n AS DOUBLE) AS n FROM series
@@ -449,7 +449,7 @@ SELECT family, round(rmse, 6) AS rmse, family = (SELECT family FROM best) AS cho
         "forecast_preview": ols_forecast_sql(
             12, 'SELECT * FROM forecast ORDER BY "Date" LIMIT 5'
         ),
-        "forecast_sentences": ols_forecast_sql(
+        "forecast_lines": ols_forecast_sql(
             3,
             """SELECT format('Prediction for {}-{} is {}', month("Date"), year("Date"),
   CAST(prediction AS BIGINT)) AS line FROM forecast""",

@@ -159,6 +159,15 @@ def choice_ctes(prefix: str, overall: bool, source: str) -> str:
   QUALIFY row_number() OVER (PARTITION BY month, category ORDER BY level DESC) = 1)"""
 
 
+def tuned_holdout_sql(series: str, train: str, test: str) -> str:
+    return f"""WITH {series},
+h_training AS (SELECT * FROM series WHERE {train}),
+h_future AS (SELECT * FROM series WHERE {test}),
+{choice_ctes('h', True, 'h_training')}
+SELECT month, CAST(x1 AS INTEGER) AS id, CAST(y AS BIGINT) AS n,
+       round(prediction, 6) AS prediction FROM h_predicted"""
+
+
 def future_cte(name: str, overall: bool, step: int) -> str:
     """The month of one step for each category; its n is not known."""
     category = "" if overall else "category, category_idx, "
@@ -213,6 +222,7 @@ def tree_queries(
     first_two = "category_idx < 2"
     return {
         "tree_fit_predict": fitted_sql(overall, True, 3, f"month < {train_before}", test),
+        "tuned_tree_holdout": tuned_holdout_sql(overall, f"month < {train_before}", test),
         "tree_by_returnflag": fitted_sql(by_category("returnflag"), False, 5),
         "tree_by_status": fitted_sql(by_category("status"), False, 3),
         "tree_by_supplier": fitted_sql(supplier, False, 3, f"month < {test_after}", test),

@@ -64,9 +64,12 @@ ROLES = {
 _REGISTERED: dict[str, Query] = {}
 
 
-def query(function: Query) -> Query:
-    _REGISTERED[function.__name__] = function
-    return function
+def query(name: str) -> Callable[[Query], Query]:
+    def register(function: Query) -> Query:
+        _REGISTERED[name] = function
+        return function
+
+    return register
 
 
 def registered() -> dict[str, Query]:
@@ -114,17 +117,17 @@ def orders_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, texts.columns)
 
 
-@query
+@query("csv_scan")
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders_csv(spark, sf_dir)
 
 
-@query
+@query("csv_monthly_counts_by_priority")
 def csv_monthly_counts_by_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monthly_counts(orders_csv(spark, sf_dir), "removal_date", "priority")
 
 
-@query
+@query("csv_sink_roundtrip")
 def csv_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     forecast = ols_forecast_overall(spark, sf_dir)
     path = scratch_path(spark, "forecast-csv")
@@ -132,7 +135,7 @@ def csv_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(forecast.schema).option("header", True).csv(path)
 
 
-@query
+@query("generic_sink_roundtrip")
 def generic_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = monthly_counts_by_supplier(spark, sf_dir)
     path = scratch_path(spark, "counts-csv")
@@ -143,21 +146,21 @@ def generic_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- scalar functions --------------------------------------------------------------
 
 
-@query
+@query("parse_month_key")
 def parse_month_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_texts(spark, sf_dir).select(
         "order_key", month_key(parse_date_text(F.col("removal_date"))).alias("month_key")
     )
 
 
-@query
+@query("month_key_to_date")
 def month_key_to_first_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     key = month_key(event_date(orders, "o_orderdate"))
     return orders.select("o_orderkey", month_key_to_date(key).alias("month"))
 
 
-@query
+@query("truncate_to_month")
 def truncate_to_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     return lines.select(
@@ -165,7 +168,7 @@ def truncate_to_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
+@query("round_half_up")
 def round_to_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     balance = F.col("c_acctbal")
     return table(spark, sf_dir, "customer").select(
@@ -175,7 +178,7 @@ def round_to_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
+@query("clamp_negative")
 def clamp_negative_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
         "c_custkey",
@@ -189,7 +192,7 @@ def clamp_negative_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- counts, numbering, bounds -----------------------------------------------------
 
 
-@query
+@query("monthly_counts")
 def monthly_counts_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monthly_counts(table(spark, sf_dir, "orders"), "o_orderdate")
 
@@ -199,27 +202,27 @@ def counts_by(role: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return monthly_counts(table(spark, sf_dir, name), day, column)
 
 
-@query
+@query("monthly_counts_by_priority")
 def monthly_counts_by_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts_by("priority", spark, sf_dir)
 
 
-@query
+@query("monthly_counts_by_status")
 def monthly_counts_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts_by("status", spark, sf_dir)
 
 
-@query
+@query("monthly_counts_by_returnflag")
 def monthly_counts_by_returnflag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts_by("returnflag", spark, sf_dir)
 
 
-@query
+@query("monthly_counts_by_supplier")
 def monthly_counts_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts_by("supplier", spark, sf_dir)
 
 
-@query
+@query("monthly_counts_null_category")
 def monthly_counts_null_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders of status P have no category here: their months appear with n = 0."""
     orders = table(spark, sf_dir, "orders").withColumn(
@@ -228,46 +231,46 @@ def monthly_counts_null_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monthly_counts(orders, "o_orderdate", "status")
 
 
-@query
+@query("month_index_overall")
 def month_index_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return number_months(monthly_counts_overall(spark, sf_dir))
 
 
-@query
+@query("month_index_by_category")
 def month_index_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return number_months(monthly_counts_by_supplier(spark, sf_dir))
 
 
-@query
+@query("sparse_month_index_by_customer")
 def sparse_month_index_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Many categories, each missing from most months."""
     orders = table(spark, sf_dir, "orders")
     return number_months(monthly_counts(orders, "o_orderdate", "o_custkey"))
 
 
-@query
+@query("series_bounds")
 def bounds_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bounds_frame(month_index_overall(spark, sf_dir))
 
 
-@query
+@query("series_bounds_by_category")
 def bounds_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bounds_frame(month_index_by_category(spark, sf_dir))
 
 
-@query
+@query("distinct_categories")
 def distinct_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return category_series(spark, sf_dir, "supplier").starts
 
 
-@query
+@query("bin_count")
 def bin_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = [("overall", tree_bins(overall_series(spark, sf_dir)))]
     rows += [(role, tree_bins(category_series(spark, sf_dir, role))) for role in ROLES]
     return spark.createDataFrame(rows, "series string, bins int")
 
 
-@query
+@query("holdout_split")
 def holdout_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overlapping cuts: months between them are in both parts."""
     series = month_index_overall(spark, sf_dir)
@@ -277,7 +280,7 @@ def holdout_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
+@query("index_range_filter")
 def index_range_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = category_series(spark, sf_dir, "supplier")
     return index_range(series.frame, 0.0, 2.0).select(
@@ -288,14 +291,14 @@ def index_range_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- features and future frames ----------------------------------------------------
 
 
-@query
+@query("category_index")
 def category_index_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return category_series(spark, sf_dir, "supplier").frame.select(
         "month", "category", "n", "id", "category_idx"
     )
 
 
-@query
+@query("category_index_by_customer")
 def category_index_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The index by a distributed sort, as for more categories than one task ranks."""
     sparse = settle(with_active_months(sparse_month_index_by_customer(spark, sf_dir)))
@@ -303,7 +306,7 @@ def category_index_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_category_index(sparse, index).select("month", "category", "id", "category_idx")
 
 
-@query
+@query("feature_vector")
 def feature_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = vector_to_array("features")
     return category_series(spark, sf_dir, "priority").frame.select(
@@ -311,19 +314,19 @@ def feature_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
+@query("future_frame_overall")
 def future_frame_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = overall_series(spark, sf_dir)
     return future_frame(series.starts, series.bounds.last_month, series.bounds.last_id, 36)
 
 
-@query
+@query("future_frame_by_category")
 def future_frame_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = category_series(spark, sf_dir, "supplier")
     return future_frame(series.starts, series.bounds.last_month, series.bounds.last_id, 12)
 
 
-@query
+@query("feedback_union")
 def feedback_training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """History and one month of predictions; here each predicts its last month number."""
     series = category_series(spark, sf_dir, "priority")
@@ -340,63 +343,63 @@ def rounded_coefficients(series: MonthlySeries, fit: Callable[[DataFrame], objec
     return fitted.select(*(rounded(c) for c in fitted.columns))
 
 
-@query
+@query("ols_fit")
 def ols_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded_coefficients(
         overall_series(spark, sf_dir), lambda df: models.linear(df, 0.0, 1.0, 1000)
     )
 
 
-@query
+@query("ridge_fit")
 def ridge_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded_coefficients(
         overall_series(spark, sf_dir), lambda df: models.linear(df, 0.01, 0.0, 1000)
     )
 
 
-@query
+@query("lasso_fit")
 def lasso_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded_coefficients(
         overall_series(spark, sf_dir), lambda df: models.linear(df, 0.01, 1.0, 100)
     )
 
 
-@query
+@query("glr_gaussian")
 def glr_gaussian(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded_coefficients(
         overall_series(spark, sf_dir), lambda df: models.generalized_linear(df, "gaussian")
     )
 
 
-@query
+@query("glr_poisson")
 def glr_poisson(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded_coefficients(
         overall_series(spark, sf_dir), lambda df: models.generalized_linear(df, "poisson")
     )
 
 
-@query
+@query("ols_fit_by_supplier")
 def ols_fit_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded_coefficients(
         category_series(spark, sf_dir, "supplier"), lambda df: models.linear(df, 0.0, 1.0, 1000)
     )
 
 
-@query
+@query("ridge_fit_by_supplier")
 def ridge_fit_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded_coefficients(
         category_series(spark, sf_dir, "supplier"), lambda df: models.linear(df, 0.01, 0.0, 1000)
     )
 
 
-@query
+@query("ridge_fit_by_status")
 def ridge_fit_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded_coefficients(
         category_series(spark, sf_dir, "status"), lambda df: models.linear(df, 0.01, 0.0, 1000)
     )
 
 
-@query
+@query("glr_poisson_by_priority")
 def glr_poisson_by_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded_coefficients(
         category_series(spark, sf_dir, "priority"),
@@ -418,25 +421,25 @@ def fitted_rows(
     return predicted.select("month", *category, "id", "n", "prediction")
 
 
-@query
+@query("isotonic_fit")
 def isotonic_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     predicted = fitted_rows(overall_series(spark, sf_dir), models.isotonic)
     return predicted.withColumn("prediction", rounded("prediction"))
 
 
-@query
+@query("isotonic_by_supplier")
 def isotonic_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     predicted = fitted_rows(category_series(spark, sf_dir, "supplier"), models.isotonic)
     return predicted.withColumn("prediction", rounded("prediction"))
 
 
-@query
+@query("isotonic_by_status")
 def isotonic_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     predicted = fitted_rows(category_series(spark, sf_dir, "status"), models.isotonic)
     return predicted.withColumn("prediction", rounded("prediction"))
 
 
-@query
+@query("lasso_holdout")
 def lasso_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = overall_series(spark, sf_dir)
     train, test = holdout(series.frame, TEST_AFTER, TRAIN_BEFORE)
@@ -451,7 +454,7 @@ def tree_rows(
     return fitted_rows(series, lambda df: models.tree(df, depth, bins), train, test)
 
 
-@query
+@query("tree_fit_predict")
 def tree_fit_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Depth 3, overall, trained on earlier and tested on later months."""
     series = overall_series(spark, sf_dir)
@@ -459,19 +462,30 @@ def tree_fit_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree_rows(series, 3, train, test).withColumn("prediction", rounded("prediction"))
 
 
-@query
+@query("tuned_tree_holdout")
+def tuned_tree_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Depth chosen by cross-validation on the earlier months."""
+    series = overall_series(spark, sf_dir)
+    train, test = holdout(series.frame, TEST_AFTER, TRAIN_BEFORE)
+    predicted = fitted_rows(
+        series, lambda df: tune_tree(df, series.bounds.last_id, 1).model, train, test
+    )
+    return predicted.withColumn("prediction", rounded("prediction"))
+
+
+@query("tree_by_returnflag")
 def tree_by_returnflag(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = category_series(spark, sf_dir, "returnflag")
     return tree_rows(series, 5).withColumn("prediction", rounded("prediction"))
 
 
-@query
+@query("tree_by_status")
 def tree_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = category_series(spark, sf_dir, "status")
     return tree_rows(series, 3).withColumn("prediction", rounded("prediction"))
 
 
-@query
+@query("tree_by_supplier")
 def tree_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Depth 3, disjoint cuts."""
     series = category_series(spark, sf_dir, "supplier")
@@ -479,7 +493,7 @@ def tree_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree_rows(series, 3, train, test).withColumn("prediction", rounded("prediction"))
 
 
-@query
+@query("deep_tree_two_categories")
 def deep_tree_two_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As deep as trees go, on the two most active categories only."""
     series = category_series(spark, sf_dir, "supplier")
@@ -500,12 +514,12 @@ def forest_rows(series: MonthlySeries, trees: int, depth: int) -> DataFrame:
     return fitted_rows(series, lambda df: models.forest(df, trees, depth, bins), train, test)
 
 
-@query
+@query("forest_fit_predict")
 def forest_fit_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest_rows(overall_series(spark, sf_dir), 3, 5)
 
 
-@query
+@query("forest_by_supplier")
 def forest_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest_rows(category_series(spark, sf_dir, "supplier"), 10, 3)
 
@@ -519,19 +533,19 @@ def ols_tested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fitted_rows(series, lambda df: models.linear(df, 0.0, 1.0, 1000), train, test)
 
 
-@query
+@query("metric_mae")
 def metric_mae(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = mae(F.col("n"), F.col("prediction"))
     return ols_tested(spark, sf_dir).agg(F.round(value, 6).alias("mae"))
 
 
-@query
+@query("metric_rmse")
 def metric_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = rmse(F.col("n"), F.col("prediction"))
     return ols_tested(spark, sf_dir).agg(F.round(value, 6).alias("rmse"))
 
 
-@query
+@query("metric_r2")
 def metric_r2(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = r2(F.col("n"), F.col("prediction"))
     return ols_tested(spark, sf_dir).agg(F.round(value, 6).alias("r2"))
@@ -542,7 +556,7 @@ def rounded_metrics(predicted: DataFrame) -> DataFrame:
     return scores.select(*(rounded(c) for c in scores.columns))
 
 
-@query
+@query("ridge_metrics_by_supplier")
 def ridge_metrics_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = category_series(spark, sf_dir, "supplier")
     train, test = holdout(series.frame, TEST_AFTER)
@@ -551,14 +565,14 @@ def ridge_metrics_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
+@query("tree_metrics_by_priority")
 def tree_metrics_by_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = category_series(spark, sf_dir, "priority")
     train, test = holdout(series.frame, TEST_AFTER)
     return rounded_metrics(tree_rows(series, 3, train, test))
 
 
-@query
+@query("cv_model_choice")
 def cv_model_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cross-validated RMSE of each family of the generalized linear regression."""
     with overall_series(spark, sf_dir).cached() as series:
@@ -570,7 +584,7 @@ def cv_model_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "family string, rmse double, chosen boolean")
 
 
-@query
+@query("cv_depth_choice")
 def cv_depth_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cross-validated RMSE of each tree depth."""
     with category_series(spark, sf_dir, "priority").cached() as series:
@@ -586,42 +600,42 @@ def cv_depth_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- forecasts ---------------------------------------------------------------------
 
 
-@query
+@query("ols_forecast_overall")
 def ols_forecast_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast_direct(overall_series(spark, sf_dir), HORIZON, models.linear)
 
 
-@query
+@query("glr_forecast_overall")
 def glr_forecast_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast_direct(overall_series(spark, sf_dir), HORIZON)
 
 
-@query
+@query("glr_forecast_by_category")
 def glr_forecast_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast_direct(category_series(spark, sf_dir, "priority"), HORIZON)
 
 
-@query
+@query("glr_forecast_by_supplier")
 def glr_forecast_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast_direct(category_series(spark, sf_dir, "supplier"), 12)
 
 
-@query
+@query("tree_forecast_overall")
 def tree_forecast_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast_recursive(overall_series(spark, sf_dir), HORIZON)
 
 
-@query
+@query("tree_forecast_by_category")
 def tree_forecast_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast_recursive(category_series(spark, sf_dir, "priority"), HORIZON)
 
 
-@query
+@query("forecast_preview")
 def forecast_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     forecast = forecast_direct(overall_series(spark, sf_dir), 12, models.linear)
     return preview(forecast, 5)
 
 
-@query
+@query("forecast_lines")
 def forecast_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast_lines(ols_forecast_overall(spark, sf_dir))

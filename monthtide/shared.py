@@ -20,7 +20,6 @@ def shared_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="monthtide-")
-    if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(folder)
     return folder
 
@@ -30,10 +29,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and keep it in reliable storage.
+    """Compute ``df`` once, as a table in the shared folder, and read that from here on.
 
     Used right after the scan of the raw rows, so that neither the many fits that
     follow nor the loss of an executor scans them again.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

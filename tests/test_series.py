@@ -11,7 +11,9 @@ from monthtide.operators.series import (
     number_months,
     series_bounds,
 )
+from monthtide.plans.direct import forecast_direct
 from monthtide.plans.training import build_series
+from monthtide.shared import scratch_path, settle, shared_dir
 
 JAN = dt.date(2015, 1, 1)
 
@@ -64,8 +66,11 @@ def test_whole_number_categories_become_text(spark, kind):
 
 
 def test_odd_column_names(spark):
-    df = ramp(spark, JAN, [2, 1]).withColumnsRenamed({"removal_date": "Removal Date", "doctor": "a.b"})
-    assert build_series(df, "A.B").frame.agg(F.sum("n")).first()[0] == 3
+    names = {"removal_date": "Removal Date", "doctor": "a.b (c, d)"}
+    series = build_series(ramp(spark, JAN, [2, 1] * 4).withColumnsRenamed(names), "A.B (C, D)")
+    assert series.frame.agg(F.sum("n")).first()[0] == 12
+    forecast = settle(forecast_direct(series, 2))
+    assert forecast.columns == ["Date", "a.b (c, d)", "prediction"] and forecast.count() == 2
 
 
 def test_null_category_raises_or_is_dropped(spark):
@@ -80,3 +85,10 @@ def test_null_category_raises_or_is_dropped(spark):
 def test_empty_table_raises(spark):
     with pytest.raises(ValueError, match="no rows"):
         build_series(ramp(spark, JAN, [1]).where("false"))
+
+
+def test_shared_folder_is_the_sessions(spark):
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        assert shared_dir(spark) == configured
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")
