@@ -13,7 +13,7 @@ JAN = dt.date(2015, 1, 1)
 
 
 @pytest.fixture(scope="module")
-def admissible(spark):
+def records(spark):
     """Three doctors, one missing from some months and one seen once; history ends in December."""
     rng = random.Random(1)
     counts = {}
@@ -34,30 +34,30 @@ def check_whole(forecast, horizon, categories, last):
     return rows
 
 
-def test_direct_by_category(admissible):
-    forecast = forecast_direct(build_series(admissible, "doctor"), 36)
+def test_direct_by_category(records):
+    forecast = forecast_direct(build_series(records, "doctor"), 36)
     rows = check_whole(forecast, 36, ["a", "b", "c"], dt.date(2015, 12, 1))
     assert all(r.prediction >= 0 for r in rows)
     assert forecast.columns == ["Date", "doctor", "prediction"]
 
 
-def test_recursive_by_category(admissible):
-    forecast = forecast_recursive(build_series(admissible, "doctor"), 2)
+def test_recursive_by_category(records):
+    forecast = forecast_recursive(build_series(records, "doctor"), 2)
     check_whole(forecast, 2, ["a", "b", "c"], dt.date(2015, 12, 1))
 
 
 @pytest.mark.parametrize("forecast", [forecast_direct, forecast_recursive])
-def test_overall_one_month(admissible, forecast):
-    got = forecast(build_series(admissible), 1)
+def test_overall_one_month(records, forecast):
+    got = forecast(build_series(records), 1)
     check_whole(got, 1, [None], dt.date(2015, 12, 1))
     assert got.columns == ["Date", "prediction"]
 
 
 @pytest.mark.parametrize("forecast", [forecast_direct, forecast_recursive])
 @pytest.mark.parametrize("horizon", [0, -1])
-def test_no_horizon(admissible, forecast, horizon):
+def test_no_horizon(records, forecast, horizon):
     with pytest.raises(ValueError, match="horizon"):
-        forecast(build_series(admissible), horizon)
+        forecast(build_series(records), horizon)
 
 
 def test_falling_series_is_clamped(spark):
@@ -82,9 +82,9 @@ def test_preview_and_lines(spark):
 
 
 @pytest.fixture(scope="module")
-def csv_path(spark, admissible, tmp_path_factory):
+def csv_path(spark, records, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("in") / "records.2015.csv")
-    texts = admissible.selectExpr(
+    texts = records.selectExpr(
         "date_format(removal_date, 'dd/MM/yyyy') as `Removal Date`", "doctor as Doctor"
     )
     texts.coalesce(1).write.option("header", True).csv(path)
