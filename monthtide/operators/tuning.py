@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -52,7 +53,7 @@ def cross_validate(
     folds: int = FOLDS,
     parallelism: int = PARALLELISM,
 ) -> Tuned:
-    """Least mean RMSE over the folds wins, the first on a tie; refit on all rows.
+    """Least mean RMSE over the folds wins, the first on a tie, NaN never; refit on all rows.
 
     ``data`` has ``fold`` and should be cached. The fits of all folds and parameters
     run at the same time, and one pass per fold scores all its models. (Spark's own
@@ -81,13 +82,19 @@ def cross_validate(
         fitted = list(pool.map(inheritable_thread_target(spark)(fit), tasks))
         by_fold = [(k, fitted[k * len(grid) : (k + 1) * len(grid)]) for k in range(folds)]
         scores = list(pool.map(inheritable_thread_target(spark)(score), by_fold))
+    if any(value is None for fold_scores in scores for value in fold_scores):
+        raise ValueError(f"too few months for {folds} folds")
     means = [sum(s[i] for s in scores) / folds for i in range(len(grid))]
-    best = grid[means.index(min(means))]
+    best = grid[min(range(len(grid)), key=lambda i: (math.isnan(means[i]), means[i]))]
     return Tuned(estimator.fit(data, best), best, grid, means)
 
 
 def tune_tree(
-    data: DataFrame, max_id: int, n_categories: int, depths: tuple[int, ...] = TREE_DEPTHS
+    data: DataFrame,
+    max_id: int,
+    n_categories: int,
+    depths: tuple[int, ...] = TREE_DEPTHS,
+    parallelism: int = PARALLELISM,
 ) -> Tuned:
     """Decision tree, its depth chosen by cross-validation.
 
@@ -100,14 +107,18 @@ def tune_tree(
         .addGrid(estimator.maxDepth, list(depths))
         .build()
     )
-    return cross_validate(estimator, grid, data)
+    return cross_validate(estimator, grid, data, parallelism=parallelism)
 
 
-def tune_generalized_linear(data: DataFrame, families: tuple[str, ...] = GLR_FAMILIES) -> Tuned:
+def tune_generalized_linear(
+    data: DataFrame,
+    families: tuple[str, ...] = GLR_FAMILIES,
+    parallelism: int = PARALLELISM,
+) -> Tuned:
     """Generalized linear regression, its family chosen by cross-validation."""
     estimator = GeneralizedLinearRegression(**COLUMNS)
     grid = ParamGridBuilder().addGrid(estimator.family, list(families)).build()
-    return cross_validate(estimator, grid, data)
+    return cross_validate(estimator, grid, data, parallelism=parallelism)
 
 
 def check_tree_rows(data: DataFrame, n_categories: int, folds: int = FOLDS) -> None:
@@ -123,5 +134,3 @@ def check_tree_rows(data: DataFrame, n_categories: int, folds: int = FOLDS) -> N
             f"{fewest} training rows in a fold are too few for a tree over {n_categories} "
             "categories: each needs one month at least"
         )
-    if min(counts) == 0:
-        raise ValueError(f"too few months for {folds} folds")

@@ -294,7 +294,8 @@ BIN_RULE = """CAST(CASE WHEN greatest(max(id), {n}) <= 32 THEN 32
 def bins_sql() -> str:
     overall = BIN_RULE.format(n="1")
     by_category = BIN_RULE.format(n="count(DISTINCT category)")
-    parts = [f"SELECT 'overall' AS series, (WITH {overall_ctes()} SELECT {overall} FROM series) AS bins"]
+    bins = f"(WITH {overall_ctes()} SELECT {overall} FROM series)"
+    parts = [f"SELECT 'overall' AS series, {bins} AS bins"]
     parts += [
         f"SELECT '{role}', (WITH {category_ctes(role)} SELECT {by_category} FROM series)"
         for role in ("priority", "status", "returnflag", "supplier")
@@ -385,7 +386,8 @@ SELECT month, n, id, 'test' FROM series WHERE month > {TEST_AFTER}""",
         ),
         "feature_vector": select_from(
             category_ctes("priority"),
-            "SELECT month, category, CAST(id AS DOUBLE) AS f_id, category_idx AS f_category FROM series",
+            """SELECT month, category, CAST(id AS DOUBLE) AS f_id, category_idx AS f_category
+FROM series""",
         ),
         "future_frame_overall": select_from(
             overall,

@@ -63,7 +63,8 @@ def tree_ctes(prefix: str, depth: int) -> str:
     """
     levels = ",".join(level_ctes(prefix, level) for level in range(depth + 1))
     reached = "\n  UNION ALL\n".join(
-        f"""  SELECT r.run, x1, x2, y, trained, month, category, {level} AS level, ty / tc AS prediction
+        f"""  SELECT r.run, x1, x2, y, trained, month, category, {level} AS level,
+         ty / tc AS prediction
   FROM {prefix}_rows{level} r
   JOIN {prefix}_nodes{level} n ON r.run = n.run AND r.node = n.node"""
         for level in range(depth + 1)

@@ -41,7 +41,8 @@ def test_index_equals_string_indexer(spark, one_task_rows):
 
 
 def test_distributed_rank(spark):
-    df = spark.range(5000, numPartitions=7).select((F.hash("id").cast("long") * 8192 + F.col("id")).alias("v"))
+    value = F.hash("id").cast("long") * 8192 + F.col("id")
+    df = spark.range(5000, numPartitions=7).select(value.alias("v"))
     ranked = rank_rows(df, [F.col("v").desc()], "rank", 5000, one_task_rows=10)
     rows = sorted(ranked.collect(), key=lambda r: -r.v)
     assert [r["rank"] for r in rows] == list(range(5000))

@@ -10,6 +10,7 @@ from data import events, months, ramp
 from monthtide.operators.features import bin_count
 from monthtide.operators.models import COLUMNS, tree_estimator
 from monthtide.operators.tuning import check_tree_rows, tune_generalized_linear, tune_tree
+from monthtide.plans.direct import forecast_direct
 from monthtide.plans.recursive import forecast_recursive
 from monthtide.plans.training import build_series
 
@@ -59,4 +60,10 @@ def test_too_few_rows_for_the_categories(spark):
     with pytest.raises(ValueError, match="too few"):
         check_tree_rows(few.frame, 9)
     with pytest.raises(ValueError, match="too few"):
-        forecast_recursive(build_series(ramp(spark, JAN, [1, 2])), 1)
+        forecast_recursive(build_series(ramp(spark, JAN, [1])), 1)
+
+
+@pytest.mark.parametrize("forecast", [forecast_recursive, forecast_direct])
+def test_too_few_months_for_the_folds(spark, forecast):
+    with pytest.raises(ValueError, match="too few months"):
+        forecast(build_series(ramp(spark, JAN, [1, 2])), 1)
