@@ -52,10 +52,12 @@ def cross_validate(
     data: DataFrame,
     folds: int = FOLDS,
     parallelism: int = PARALLELISM,
+    min_training_rows: int = 1,
 ) -> Tuned:
     """Least mean RMSE over the folds wins, the first on a tie, NaN never; refit on all rows.
 
-    ``data`` has ``fold`` and should be cached. The fits of all folds and parameters
+    ``data`` has ``fold`` and should be cached; counting its folds fills the cache before
+    the fits start, and raises when they are too small. The fits of all folds and parameters
     run at the same time, and one pass per fold scores all its models. (Spark's own
     cross-validator checks a fold column with a Python UDF on every row.)
     """
@@ -76,19 +78,31 @@ def cross_validate(
             ).first()
         )
 
+    check_folds(data, folds, min_training_rows)
     spark = data.sparkSession
     tasks = [(k, i) for k in range(folds) for i in range(len(grid))]
     with ThreadPoolExecutor(min(parallelism, len(tasks))) as pool:
         fitted = list(pool.map(inheritable_thread_target(spark)(fit), tasks))
         by_fold = [(k, fitted[k * len(grid) : (k + 1) * len(grid)]) for k in range(folds)]
         scores = list(pool.map(inheritable_thread_target(spark)(score), by_fold))
-    if any(value is None for fold_scores in scores for value in fold_scores):
-        raise ValueError(f"too few months for {folds} folds")
     means = [sum(s[i] for s in scores) / folds for i in range(len(grid))]
     best = grid[min(range(len(grid)), key=lambda i: (math.isnan(means[i]), means[i]))]
     return Tuned(estimator.fit(data, best), best, grid, means)
 
 
+def check_folds(data: DataFrame, folds: int, min_training_rows: int) -> None:
+    in_fold = [F.count(F.when(F.col("fold") == k, 1)).alias(f"fold_{k}") for k in range(folds)]
+    counts = data.agg(*in_fold).first()
+    fewest = sum(counts) - max(counts)
+    if fewest < min_training_rows:
+        raise ValueError(
+            f"a fold has {fewest} training rows, too few for a model that needs "
+            f"{min_training_rows}"
+        )
+    if min(counts) == 0:
+        raise ValueError(f"too few months for {folds} folds")
+
+
 def tune_tree(
     data: DataFrame,
     max_id: int,
@@ -98,7 +112,7 @@ def tune_tree(
 ) -> Tuned:
     """Decision tree, its depth chosen by cross-validation.
 
-    See ``check_tree_rows`` for what ``data`` must hold.
+    A tree has at most as many bins as training rows, and needs one per category.
     """
     estimator = tree_estimator()
     grid = (
@@ -107,7 +121,9 @@ def tune_tree(
         .addGrid(estimator.maxDepth, list(depths))
         .build()
     )
-    return cross_validate(estimator, grid, data, parallelism=parallelism)
+    return cross_validate(
+        estimator, grid, data, parallelism=parallelism, min_training_rows=n_categories
+    )
 
 
 def tune_generalized_linear(
@@ -119,18 +135,3 @@ def tune_generalized_linear(
     estimator = GeneralizedLinearRegression(**COLUMNS)
     grid = ParamGridBuilder().addGrid(estimator.family, list(families)).build()
     return cross_validate(estimator, grid, data, parallelism=parallelism)
-
-
-def check_tree_rows(data: DataFrame, n_categories: int, folds: int = FOLDS) -> None:
-    """Raise if the folds are too small for a tree.
-
-    It has at most as many bins as training rows, and needs one bin per category.
-    """
-    in_fold = [F.count(F.when(F.col("fold") == k, 1)).alias(f"fold_{k}") for k in range(folds)]
-    counts = data.agg(*in_fold).first()
-    fewest = sum(counts) - max(counts)
-    if fewest < max(n_categories, 1):
-        raise ValueError(
-            f"{fewest} training rows in a fold are too few for a tree over {n_categories} "
-            "categories: each needs one month at least"
-        )

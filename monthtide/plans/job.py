@@ -17,7 +17,7 @@ from monthtide.sources.forecast_files import (
     recursive_name_from_input,
     write_forecast,
 )
-from monthtide.sources.tables import OVERALL, read_table, require_date_column, resolve_dimension
+from monthtide.sources.tables import OVERALL, read_table, resolve_dimension
 
 METHODS = ("recursive", "direct")
 
@@ -48,10 +48,7 @@ def run_forecast_job(
             raise ValueError(f"the input path must contain {text!r}: {path}")
     check_horizon(horizon)
     df = read_table(spark, path)
-    resolve_dimension(df, by, allowed)
-    require_date_column(df, date_col)
-
-    series = build_series(df, by, date_col, null_category)
+    series = build_series(df, resolve_dimension(df, by, allowed), date_col, null_category)
     if method == "recursive":
         forecast = forecast_recursive(series, horizon)
     else:

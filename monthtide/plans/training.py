@@ -39,11 +39,8 @@ class MonthlySeries:
 
     @contextmanager
     def cached(self) -> Iterator[MonthlySeries]:
-        """Keep the frames in memory while several fits read them.
-
-        Filled here once, not by each of the fits that start at the same time.
-        """
-        self.frame.persist().count()
+        """Keep the frames in memory while fits read them."""
+        self.frame.persist()
         self.starts.persist()
         try:
             yield self
@@ -66,6 +63,8 @@ def build_series(
         raise ValueError(f"null_category must be 'error' or 'drop', not {null_category!r}")
     column = resolve_dimension(df, by)
     day = require_date_column(df, date_col)
+    if column == day:
+        raise ValueError(f"{day!r} is the date column, not a dimension")
     if column is not None and null_category == "drop":
         df = df.where(F.col(f"`{column}`").isNotNull())
     numbered = number_months(monthly_counts(df, day, column))

@@ -111,6 +111,7 @@ def test_job_writes_what_it_returns(spark, csv_path, tmp_path):
     [
         ({"by": "ward"}, "not one of the columns"),
         ({"by": "doctor", "allowed": ["overall", "ward"]}, "unknown dimension"),
+        ({"by": "removal date"}, "is the date column"),
         ({"horizon": 0}, "horizon"),
         ({"method": "other"}, "method"),
         ({"required_in_path": ["csv", "other"]}, "must contain"),
