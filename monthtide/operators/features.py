@@ -109,7 +109,11 @@ def assemble(df: DataFrame) -> DataFrame:
 
 
 def bin_count(max_id: int, n_categories: int) -> int:
-    """Bins a tree needs to tell all month numbers and all categories apart."""
+    """Bins a tree needs to tell all month numbers and all categories apart.
+
+    A series has at most months x categories rows, so never more than the square of this,
+    up to which Spark looks for splits in all rows and not in a sample.
+    """
     if max(max_id, n_categories) <= MIN_BINS:
         return MIN_BINS
     return max(max_id, n_categories - 1) + 1

@@ -231,13 +231,13 @@ scores AS (
 best AS (SELECT family FROM scores ORDER BY rmse, family LIMIT 1)"""
 
 
-def glr_forecast_sql(role: str | None, horizon: int) -> str:
+def glr_forecast_sql(role: str | None, horizon: int, by: str | None = None) -> str:
     series = overall_ctes() if role is None else category_ctes(role)
     if role is None:
         starts, category = "(SELECT 0.0 AS category_idx)", ""
     else:
         starts = "(SELECT DISTINCT category, category_idx FROM series)"
-        category = f"category AS {ROLES[role][3]}, "
+        category = f"category AS {by or ROLES[role][3]}, "
     score = "intercept + coef_id * (last_id + step) + coef_category * category_idx"
     return f"""WITH RECURSIVE {series},
 {glr_choice_ctes(role is not None)},
@@ -287,6 +287,16 @@ def ridge_metrics_sql() -> str:
     )
 
 
+def isotonic_metrics_sql() -> str:
+    values = ", ".join(f"round({sql}, 6) AS {name}" for name, sql in METRICS.items())
+    return select_from(
+        f"{category_ctes('status')},{ISOTONIC},\n"
+        f"tested AS (SELECT n, prediction AS p FROM series JOIN fitted USING (id) "
+        f"WHERE month > {TEST_AFTER})",
+        f"SELECT {values} FROM tested",
+    )
+
+
 BIN_RULE = """CAST(CASE WHEN greatest(max(id), {n}) <= 32 THEN 32
   ELSE greatest(max(id), {n} - 1) + 1 END AS INTEGER)"""
 
@@ -441,6 +451,7 @@ FROM series, fit WHERE month > {TEST_AFTER}""",
         "metric_rmse": ols_metric_sql("rmse"),
         "metric_r2": ols_metric_sql("r2"),
         "ridge_metrics_by_supplier": ridge_metrics_sql(),
+        "isotonic_metrics_by_status": isotonic_metrics_sql(),
         "cv_model_choice": f"""WITH RECURSIVE {overall},
 {glr_choice_ctes(False)}
 SELECT family, round(rmse, 6) AS rmse, family = (SELECT family FROM best) AS chosen FROM scores""",
@@ -448,6 +459,7 @@ SELECT family, round(rmse, 6) AS rmse, family = (SELECT family FROM best) AS cho
         "glr_forecast_overall": glr_forecast_sql(None, 3),
         "glr_forecast_by_category": glr_forecast_sql("priority", 3),
         "glr_forecast_by_supplier": glr_forecast_sql("supplier", 12),
+        "forecast_job_direct": glr_forecast_sql("priority", 3, "priority"),
         "forecast_preview": ols_forecast_sql(
             12, 'SELECT * FROM forecast ORDER BY "Date" LIMIT 5'
         ),

@@ -231,6 +231,8 @@ def tree_queries(
             supplier, False, 30, first_two, f"{first_two} AND {test}"
         ),
         "tree_metrics_by_priority": metrics_sql(priority, 3, test, metrics),
+        "tree_metrics_by_returnflag": metrics_sql(by_category("returnflag"), 5, test, metrics),
+        "forecast_job_recursive": recursive_forecast_sql(overall, None, 3),
         "cv_depth_choice": depth_choice_sql(priority),
         "tree_forecast_overall": recursive_forecast_sql(overall, None, 3),
         "tree_forecast_by_category": recursive_forecast_sql(priority, "o_orderpriority", 3),

@@ -41,10 +41,16 @@ from monthtide.operators.series import (
 from monthtide.operators.tuning import tune_generalized_linear, tune_tree
 from monthtide.plans.direct import forecast_direct
 from monthtide.plans.finish import forecast_lines, preview
+from monthtide.plans.job import run_forecast_job
 from monthtide.plans.recursive import forecast_recursive
 from monthtide.plans.training import MonthlySeries, build_series
 from monthtide.shared import scratch_path, settle
-from monthtide.sources.forecast_files import write_forecast, write_parts
+from monthtide.sources.forecast_files import (
+    direct_name,
+    recursive_name,
+    write_forecast,
+    write_parts,
+)
 from monthtide.sources.tables import read_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -572,6 +578,25 @@ def tree_metrics_by_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded_metrics(tree_rows(series, 3, train, test))
 
 
+@query("isotonic_metrics_by_status")
+def isotonic_metrics_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    series = category_series(spark, sf_dir, "status")
+    train, test = holdout(series.frame, TEST_AFTER)
+    return rounded_metrics(fitted_rows(series, models.isotonic, train, test))
+
+
+@query("tree_metrics_by_returnflag")
+def tree_metrics_by_returnflag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    series = category_series(spark, sf_dir, "returnflag")
+    train, test = holdout(series.frame, TEST_AFTER)
+    return rounded_metrics(tree_rows(series, 5, train, test))
+
+
+@query("forest_metrics_by_supplier")
+def forest_metrics_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics_frame(forest_by_supplier(spark, sf_dir))
+
+
 @query("cv_model_choice")
 def cv_model_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cross-validated RMSE of each family of the generalized linear regression."""
@@ -630,6 +655,28 @@ def tree_forecast_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast_recursive(category_series(spark, sf_dir, "priority"), HORIZON)
 
 
+def orders_csv_job(spark: SparkSession, sf_dir: str, by: str, method: str) -> DataFrame:
+    """From CSV file to CSV file: the forecast as written, read back."""
+    texts = order_texts(spark, sf_dir)
+    path = f"{scratch_path(spark, 'job')}/records.csv"
+    write_parts(texts, path)
+    out = scratch_path(spark, "job")
+    forecast = run_forecast_job(spark, path, by, HORIZON, out, method)
+    name = recursive_name if method == "recursive" else direct_name
+    written = spark.read.schema(forecast.schema).option("header", True)
+    return written.csv(name(by, HORIZON, out))
+
+
+@query("forecast_job_direct")
+def forecast_job_direct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orders_csv_job(spark, sf_dir, "Priority", "direct")
+
+
+@query("forecast_job_recursive")
+def forecast_job_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orders_csv_job(spark, sf_dir, "Overall", "recursive")
+
+
 @query("forecast_preview")
 def forecast_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     forecast = forecast_direct(overall_series(spark, sf_dir), 12, models.linear)
