@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from monthtide.functions.names import column_named
+
 # The day/month/year layout of date texts.
 DATE_TEXT_FORMAT = "d/M/yyyy"
 DATE_TEXT_PATTERN = r"^\d{1,2}/\d{1,2}/\d{4}$"
@@ -25,7 +27,7 @@ def parse_date_text(text: Column) -> Column:
 
 def event_date(df: DataFrame, name: str) -> Column:
     """Date of each row, from a text, date or timestamp column. Null raises."""
-    column = F.col(f"`{name}`")
+    column = column_named(name)
     if isinstance(df.schema[name].dataType, T.StringType):
         return parse_date_text(column)
     return F.coalesce(

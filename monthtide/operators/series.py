@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from monthtide.functions.calendar import event_date, month_start
+from monthtide.functions.names import column_named
 
 
 def monthly_counts(df: DataFrame, date_col: str, by: str | None = None) -> DataFrame:
@@ -25,7 +26,7 @@ def monthly_counts(df: DataFrame, date_col: str, by: str | None = None) -> DataF
     month = month_start(event_date(df, date_col)).alias("month")
     if by is None:
         return df.select(month).groupBy("month").agg(F.count("month").alias("n"))
-    category = F.col(f"`{by}`").alias("category")
+    category = column_named(by).alias("category")
     if not isinstance(df.schema[by].dataType, T.IntegralType):
         category = category.cast("string").alias("category")
     counts = (

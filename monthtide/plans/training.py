@@ -7,8 +7,8 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from monthtide.functions.names import column_named
 from monthtide.operators.features import (
     add_category_index,
     assemble,
@@ -66,7 +66,7 @@ def build_series(
     if column == day:
         raise ValueError(f"{day!r} is the date column, not a dimension")
     if column is not None and null_category == "drop":
-        df = df.where(F.col(f"`{column}`").isNotNull())
+        df = df.where(column_named(column).isNotNull())
     numbered = number_months(monthly_counts(df, day, column))
     if column is not None:
         numbered = with_active_months(numbered)

@@ -4,6 +4,8 @@ import pytest
 from oracle_check import connect, difference
 
 import __spark_entry__ as contract
+from monthtide.functions.names import column_named
+from monthtide.operators.series import monthly_counts
 from monthtide.plans.training import build_series
 from monthtide.registry.queries import category_series, table
 
@@ -55,3 +57,14 @@ def test_raw_rows_are_scanned_once(spark):
     series = category_series(spark, SF_DIR, "supplier")
     for df in (series.frame, series.starts):
         assert "lineitem" not in plan(df) and "monthtide/settled" in plan(df)
+
+
+def test_dropping_nulls_reaches_the_scan(spark):
+    df = table(spark, SF_DIR, "orders")
+    kept = df.where(column_named("o_orderpriority").isNotNull())
+    counts = monthly_counts(kept, "o_orderdate", "o_orderpriority")
+    assert "PushedFilters: [IsNotNull(o_orderpriority)]" in plan(counts)
+
+
+def test_preview_is_a_top_k(spark):
+    assert "TakeOrderedAndProject" in plan(QUERIES["forecast_preview"](spark, SF_DIR))

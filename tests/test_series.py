@@ -66,11 +66,11 @@ def test_whole_number_categories_become_text(spark, kind):
 
 
 def test_odd_column_names(spark):
-    names = {"removal_date": "Removal Date", "doctor": "a.b (c, d)"}
-    series = build_series(ramp(spark, JAN, [2, 1] * 4).withColumnsRenamed(names), "A.B (C, D)")
+    names = {"removal_date": "Removal Date", "doctor": "a.b (c, `d)"}
+    series = build_series(ramp(spark, JAN, [2, 1] * 4).withColumnsRenamed(names), "A.B (C, `D)")
     assert series.frame.agg(F.sum("n")).first()[0] == 12
     forecast = settle(forecast_direct(series, 2))
-    assert forecast.columns == ["Date", "a.b (c, d)", "prediction"] and forecast.count() == 2
+    assert forecast.columns == ["Date", "a.b (c, `d)", "prediction"] and forecast.count() == 2
 
 
 def test_null_category_raises_or_is_dropped(spark):
