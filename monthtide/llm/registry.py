@@ -8,13 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from monthtide.llm.exact_dedup import content_sort
 from monthtide.llm.frames import table
+from monthtide.llm.jaccard_join import jaccard_components
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort(table(spark, sf_dir, "documents"), keep="largest")
 
 
 def registered() -> dict[str, Query]:
-    return {"op10_exact_dedup": op10_exact_dedup}
+    return {
+        "op2_jaccard_join": op2_jaccard_join,
+        "op10_exact_dedup": op10_exact_dedup,
+    }
