@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from monthtide.llm.exact_dedup import content_sort
 from monthtide.llm.frames import table
 from monthtide.llm.jaccard_join import jaccard_components
+from monthtide.llm.language_id import predicted_languages
+from monthtide.llm.mixing import mixed_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +19,14 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed_documents(table(spark, sf_dir, "documents"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predicted_languages(table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -24,5 +34,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registered() -> dict[str, Query]:
     return {
         "op2_jaccard_join": op2_jaccard_join,
+        "op4_mix_sources": op4_mix_sources,
+        "op8_language_id": op8_language_id,
         "op10_exact_dedup": op10_exact_dedup,
     }
