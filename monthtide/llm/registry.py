@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from monthtide.llm.decontamination import contaminated
 from monthtide.llm.exact_dedup import content_sort
 from monthtide.llm.frames import table
 from monthtide.llm.jaccard_join import jaccard_components
@@ -15,6 +16,11 @@ from monthtide.llm.mixing import mixed_documents
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("bindings")
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -33,6 +39,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registered() -> dict[str, Query]:
     return {
+        "op1_decontaminate": op1_decontaminate,
         "op2_jaccard_join": op2_jaccard_join,
         "op4_mix_sources": op4_mix_sources,
         "op8_language_id": op8_language_id,
