@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from monthtide.llm.chat_format import chat_windows, read_back
 from monthtide.llm.decontamination import contaminated
 from monthtide.llm.exact_dedup import content_sort
 from monthtide.llm.frames import table
@@ -33,6 +34,20 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted_languages(table(spark, sf_dir, "documents"))
 
 
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    turns = table(spark, sf_dir, "conversations")
+    kinds = {f.name: f.dataType.simpleString() for f in turns.schema}
+    names = ["conv_id", "turn", "role", "text"]
+    own = spark.range(2).selectExpr(
+        f"cast(-1 as {kinds['conv_id']}) as conv_id",
+        f"cast(id as {kinds['turn']}) as turn",
+        "if(id = 0, 'user', 'assistant') as role",
+        f"'{said}' as text",
+    )
+    return read_back(chat_windows(turns.select(names).union(own.select(names))))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -43,5 +58,6 @@ def registered() -> dict[str, Query]:
         "op2_jaccard_join": op2_jaccard_join,
         "op4_mix_sources": op4_mix_sources,
         "op8_language_id": op8_language_id,
+        "op9_chat_format": op9_chat_format,
         "op10_exact_dedup": op10_exact_dedup,
     }

@@ -19,5 +19,63 @@ SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(t) AS text_sha256
 """
 
 
+_CONTROL = (
+    "<|", "<s>", "</s>", "<<SYS>>", "<</SYS>>", "<bos>", "<eos>", "<pad>", "<unk>",
+    "<start_of_turn>", "<end_of_turn>", "[INST]", "[/INST]",
+)
+
+
+def _escaped(column: str) -> str:
+    """The length of an escaped text: a backslash more for each backslash and control string."""
+    more = " + ".join(
+        f"(length({column}) - length(replace({column}, '{c}', ''))) // {len(c)}" for c in _CONTROL
+    )
+    return f"(length({column}) + (length({column}) - length(replace({column}, chr(92), ''))) + {more})"
+
+
+OP9 = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+n AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS nth,
+         len(regexp_extract_all(text, '{WORD}')) + 4 AS tokens,
+         {len("<|turn|><|text|><|end|>")} + {_escaped("role")} + {_escaped("text")} AS chars
+  FROM t
+),
+h AS (SELECT *, nth = 1 AND role = 'system' AS head FROM n),
+b AS (
+  SELECT *, sum(CASE WHEN head THEN 0 ELSE tokens END) OVER (PARTITION BY conv_id ORDER BY nth)
+            - CASE WHEN head THEN 0 ELSE tokens END AS begins
+  FROM h
+),
+w AS (SELECT *, begins // 320 AS win, begins % 320 >= 192 AND NOT head AS late FROM b),
+own AS (SELECT DISTINCT conv_id, win FROM w),
+heads AS (
+  SELECT w.conv_id, sum(w.chars) AS chars
+  FROM w JOIN own ON w.head AND w.conv_id IS NOT DISTINCT FROM own.conv_id GROUP BY w.conv_id
+),
+late AS (
+  SELECT w.conv_id, sum(w.chars) AS chars
+  FROM w JOIN own ON w.late AND w.conv_id IS NOT DISTINCT FROM own.conv_id AND own.win = w.win + 1
+  GROUP BY w.conv_id
+),
+c AS (
+  SELECT conv_id, count(*) AS n_turns,
+         sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY nth)) AS turns_sha256,
+         coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS loss_chars,
+         sha256(coalesce(string_agg(text, '' ORDER BY nth) FILTER (role = 'assistant'), '')) AS loss_sha256,
+         coalesce(sum(chars) FILTER (NOT head), 0) AS chars
+  FROM w GROUP BY conv_id
+)
+SELECT c.conv_id, n_turns, turns_sha256, CAST(loss_chars AS BIGINT) AS loss_chars, loss_sha256,
+       CAST(c.chars + coalesce(heads.chars, 0) + coalesce(late.chars, 0) AS BIGINT) AS formatted_chars
+FROM c LEFT JOIN heads ON c.conv_id IS NOT DISTINCT FROM heads.conv_id
+LEFT JOIN late ON c.conv_id IS NOT DISTINCT FROM late.conv_id
+"""
+
+
 def sql() -> dict[str, str]:
-    return {"op10_exact_dedup": OP10}
+    return {"op9_chat_format": OP9, "op10_exact_dedup": OP10}
