@@ -12,6 +12,7 @@ from monthtide.llm.exact_dedup import content_sort
 from monthtide.llm.frames import table
 from monthtide.llm.jaccard_join import jaccard_components
 from monthtide.llm.language_id import predicted_languages
+from monthtide.llm.license_scan import scan_licenses
 from monthtide.llm.mixing import mixed_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +31,10 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted_languages(table(spark, sf_dir, "documents"))
 
@@ -57,6 +62,7 @@ def registered() -> dict[str, Query]:
         "op1_decontaminate": op1_decontaminate,
         "op2_jaccard_join": op2_jaccard_join,
         "op4_mix_sources": op4_mix_sources,
+        "op6_license_scan": op6_license_scan,
         "op8_language_id": op8_language_id,
         "op9_chat_format": op9_chat_format,
         "op10_exact_dedup": op10_exact_dedup,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from monthtide.llm.license_scan import RULES, SENTENCES
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -77,5 +79,45 @@ LEFT JOIN late ON c.conv_id IS NOT DISTINCT FROM late.conv_id
 """
 
 
+def _rewritten(sequence: str) -> str:
+    for name, steps in RULES:
+        sequence = f"replace({sequence}, '{''.join(f'<{i}>' for i in steps)}', '#{name};')"
+    return sequence
+
+
+OP6 = rf"""
+WITH known(id, sentence) AS (VALUES {", ".join(f"('{i}', '{x}')" for i, x in SENTENCES.items())}),
+cut AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_split_to_array(
+           regexp_replace(coalesce(text, ''), '([.!?:;])[ 	
+]+', '' || chr(10), 'g'),
+           '[
+]+') AS parts
+  FROM documents
+),
+s AS (
+  SELECT r, unnest(parts) AS part, generate_subscripts(parts, 1) AS nth FROM cut
+),
+n AS (
+  SELECT r, nth, trim(regexp_replace(lower(part), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) AS sentence FROM s
+),
+g AS (
+  SELECT n.r, count(*) FILTER (n.sentence <> '') AS n_sentences,
+         coalesce(string_agg('<' || id || '>', '' ORDER BY nth), '') AS recognised
+  FROM n LEFT JOIN known ON n.sentence = known.sentence GROUP BY n.r
+),
+f AS (
+  SELECT *, regexp_extract_all({_rewritten("recognised")}, '#([^;]+);', 1) AS found FROM g
+),
+e AS (SELECT r, unnest(found) AS name, generate_subscripts(found, 1) AS nth FROM f),
+d AS (SELECT r, name, min(nth) AS nth FROM e GROUP BY r, name),
+l AS (SELECT r, string_agg(name, ',' ORDER BY nth) AS licenses FROM d GROUP BY r)
+SELECT doc_id, n_sentences, recognised, coalesce(licenses, '') AS licenses,
+       CAST(len(found) AS BIGINT) AS matches
+FROM f JOIN cut USING (r) LEFT JOIN l USING (r)
+"""
+
+
 def sql() -> dict[str, str]:
-    return {"op9_chat_format": OP9, "op10_exact_dedup": OP10}
+    return {"op6_license_scan": OP6, "op9_chat_format": OP9, "op10_exact_dedup": OP10}
