@@ -14,6 +14,7 @@ from monthtide.llm.jaccard_join import jaccard_components
 from monthtide.llm.language_id import predicted_languages
 from monthtide.llm.license_scan import scan_licenses
 from monthtide.llm.mixing import mixed_documents
+from monthtide.llm.url_filter import judged_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +28,11 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judged_urls(table(spark, sf_dir, "pages"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_documents(table(spark, sf_dir, "documents"))
 
@@ -61,6 +67,7 @@ def registered() -> dict[str, Query]:
     return {
         "op1_decontaminate": op1_decontaminate,
         "op2_jaccard_join": op2_jaccard_join,
+        "op3_url_filter": op3_url_filter,
         "op4_mix_sources": op4_mix_sources,
         "op6_license_scan": op6_license_scan,
         "op8_language_id": op8_language_id,

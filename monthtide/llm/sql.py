@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from monthtide.llm import url_filter
 from monthtide.llm.license_scan import RULES, SENTENCES
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -91,9 +92,11 @@ cut AS (
   SELECT row_number() OVER () AS r, doc_id,
          regexp_split_to_array(
            regexp_replace(coalesce(text, ''), '([.!?:;])[ 	
-]+', '' || chr(10), 'g'),
+
+]+', '' || chr(10), 'g'),
            '[
-]+') AS parts
+
+]+') AS parts
   FROM documents
 ),
 s AS (
@@ -119,5 +122,74 @@ FROM f JOIN cut USING (r) LEFT JOIN l USING (r)
 """
 
 
+def _op3() -> str:
+    rules = sorted(
+        enumerate(url_filter.RULES), key=lambda x: (-len(x[1].text), x[0])
+    )
+    fits = " ".join(
+        f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') "
+        f"THEN {i}"
+        for i, r in rules
+    )
+    texts = ", ".join(f"({i}, '{r.text}', '{r.verdict}')" for i, r in rules)
+    link = url_filter.LINK.replace("'", "''").replace('\\"', '"')
+    rest, damping = 1 - url_filter.DAMPING, url_filter.DAMPING
+    rounds = "".join(
+        f"""
+r{k + 1} AS MATERIALIZED (
+  SELECT s.host, seed_trust + {damping} * coalesce(t, 0) AS trust,
+         seed_distrust + {damping} * coalesce(d, 0) AS distrust
+  FROM seeds s
+  LEFT JOIN (SELECT e.target AS host, sum(trust * onward) AS t
+             FROM edges e JOIN r{k} r ON e.source = r.host GROUP BY 1) a ON s.host = a.host
+  LEFT JOIN (SELECT e.source AS host, sum(distrust * back) AS d
+             FROM edges e JOIN r{k} r ON e.target = r.host GROUP BY 1) b ON s.host = b.host
+),"""
+        for k in range(url_filter.ROUNDS)
+    )
+    return rf"""
+WITH u AS (
+  SELECT page_id, html,
+         coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM pages
+),
+rules(place, rule, ruled) AS (VALUES {texts}),
+p AS (SELECT *, CASE {fits} END AS place FROM u),
+j AS (SELECT page_id, html, host, path, rule, ruled FROM p LEFT JOIN rules USING (place)),
+l AS (
+  SELECT host AS source,
+         translate(unnest(regexp_extract_all(html, '{link}', 1)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS target
+  FROM j WHERE host <> ''
+),
+links AS (SELECT source, target, count(*) AS n FROM l WHERE source <> target GROUP BY ALL),
+edges AS MATERIALIZED (
+  SELECT source, target, n / sum(n) OVER (PARTITION BY source) AS onward,
+         n / sum(n) OVER (PARTITION BY target) AS back
+  FROM links
+),
+h AS (
+  SELECT host, avg(CASE WHEN ruled = 'allow' THEN 1.0::DOUBLE ELSE 0 END) AS trusted,
+         avg(CASE WHEN ruled = 'block' THEN 1.0::DOUBLE ELSE 0 END) AS blocked
+  FROM j WHERE host <> '' GROUP BY host
+  UNION ALL
+  SELECT DISTINCT target, 0, 0 FROM links WHERE target NOT IN (SELECT host FROM j)
+),
+seeds AS MATERIALIZED (
+  SELECT host, CAST({rest} AS DOUBLE) * trusted AS seed_trust,
+         CAST({rest} AS DOUBLE) * blocked AS seed_distrust FROM h
+),
+r0 AS (SELECT host, seed_trust AS trust, seed_distrust AS distrust FROM seeds),{rounds}
+last AS (SELECT * FROM r{url_filter.ROUNDS})
+SELECT page_id, j.host, path, rule,
+       coalesce(ruled, CASE WHEN distrust >= {url_filter.THRESHOLD} AND distrust > trust
+                            THEN 'block' ELSE 'allow' END) AS verdict
+FROM j LEFT JOIN last ON j.host = last.host
+"""
+
+
+OP3 = _op3()
+
+
 def sql() -> dict[str, str]:
-    return {"op6_license_scan": OP6, "op9_chat_format": OP9, "op10_exact_dedup": OP10}
+    return {"op3_url_filter": OP3, "op6_license_scan": OP6, "op9_chat_format": OP9, "op10_exact_dedup": OP10}
