@@ -14,7 +14,9 @@ from monthtide.llm.jaccard_join import jaccard_components
 from monthtide.llm.language_id import predicted_languages
 from monthtide.llm.license_scan import scan_licenses
 from monthtide.llm.mixing import mixed_documents
+from monthtide.llm.token_counts import length_histogram
 from monthtide.llm.url_filter import judged_urls
+from monthtide.llm.warc import derivatives, responses
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,10 +39,18 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return length_histogram(table(spark, sf_dir, "documents"))
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op7_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derivatives(responses(table(spark, sf_dir, "pages")))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted_languages(table(spark, sf_dir, "documents"))
 
@@ -69,7 +79,9 @@ def registered() -> dict[str, Query]:
         "op2_jaccard_join": op2_jaccard_join,
         "op3_url_filter": op3_url_filter,
         "op4_mix_sources": op4_mix_sources,
+        "op5_token_counts": op5_token_counts,
         "op6_license_scan": op6_license_scan,
+        "op7_warc_derivatives": op7_warc_derivatives,
         "op8_language_id": op8_language_id,
         "op9_chat_format": op9_chat_format,
         "op10_exact_dedup": op10_exact_dedup,
