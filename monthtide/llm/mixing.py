@@ -239,7 +239,7 @@ def _hypergeometric(rng: np.random.Generator, counts: np.ndarray, draw: int) ->
     for i, n in enumerate(counts.tolist()):
         rest -= n
         if draw:
-            out[i] = n if not rest else _drawn(rng, n, rest, draw)
+            out[i] = draw if not rest else _drawn(rng, n, rest, draw)
             draw -= int(out[i])
     return out
 
