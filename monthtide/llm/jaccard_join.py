@@ -42,11 +42,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from monthtide.llm.components import components
-from monthtide.llm.frames import seal, settle
+from monthtide.llm.frames import batches_of, seal, settle
 from monthtide.llm.words import slices, split, window_hashes, word_hashes
 
 #: Counters of frequent shingles: 4 bytes each in a task, 1 in the broadcast.
-COUNTERS = 1 << 22
+COUNTERS = 1 << 20
+#: Rows of texts, and of sets or lists, that a task hands to Python at a time.
+TEXT_ROWS, SET_ROWS = 2_000, 250
 #: Bits of the filter that tells which documents a verification needs: an eighth in bytes.
 FILTER_BITS = 1 << 23
 #: Documents of a list that one row may hold; longer lists are dealt out by document.
@@ -132,7 +134,9 @@ def _search(
     texts = docs.select(
         F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text")
     )
-    seen = settle(texts.mapInArrow(_digests(similarity), DIGEST))
+    spark = docs.sparkSession
+    with batches_of(spark, TEXT_ROWS):
+        seen = settle(texts.mapInArrow(_digests(similarity), DIGEST))
     digests = seen.where("counter is null").select("doc", "n", "high", "low")
     frequent = _frequent(seen)
 
@@ -140,8 +144,9 @@ def _search(
     reps = named.groupBy("n", "high", "low").agg(F.min("doc").alias("rep"))
     rep_of = settle(named.join(reps, ["n", "high", "low"]).select("doc", "rep", "n").distinct())
 
-    short = settle(_short_lists(texts, similarity, frequent, rep_of))
-    near = _verified(_nearest(short, similarity), texts, similarity)
+    with batches_of(spark, TEXT_ROWS):
+        short = settle(_short_lists(texts, similarity, frequent, rep_of))
+    near = _verified(settle(_nearest(short, similarity)), texts, similarity)
     parts = settle(components(near))
     far = _verified(_candidates(short, parts, similarity), texts, similarity)
     return digests, near.union(far)
@@ -293,61 +298,65 @@ def _candidates(short: DataFrame, parts: DataFrame, similarity: Similarity) -> D
     lists = (
         rows.groupBy("token", F.pmod(F.xxhash64("rep"), F.lit(dealt)).alias("deal"))
         .agg(F.sort_array(F.collect_list(F.struct("rep", "n", "part"))).alias("list"))
-        .select("token", "deal", *[F.col(f"list.{c}").alias(f"{c}s") for c in ("rep", "n", "part")])
     )
     joined = asking.select("token", "rep", "n", "part").join(lists, "token")
-    asked = joined.groupBy("rep", "n", "part", "deal").agg(
-        *[F.collect_list(c).alias(c) for c in ("reps", "ns", "parts")]
+    # What can't be a partner, by component or size, goes before the lists move.
+    percent = F.lit(similarity.percent)
+    partners = F.filter(
+        "list",
+        lambda x: (x["part"] != F.col("part"))
+        & (100 * F.least(x["n"], F.col("n")) >= percent * F.greatest(x["n"], F.col("n"))),
+    )
+    asked = (
+        joined.select("rep", "n", "deal", partners.alias("list"))
+        .where(F.size("list") > 0)
+        .select("rep", "n", "deal", *[F.col(f"list.{c}").alias(f"{c}s") for c in ("rep", "n")])
+        .groupBy("rep", "n", "deal")
+        .agg(F.collect_list("reps").alias("reps"), F.collect_list("ns").alias("ns"))
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = [], []
+            columns = [batch.column(c) for c in ("rep", "n", "reps", "ns")]
             for row in range(batch.num_rows):
-                one = {c: batch.column(c)[row].as_py() for c in batch.schema.names}
-                for other in _merged(similarity, **one):
-                    a.append(one["rep"])
-                    b.append(other)
+                rep, n, reps, ns = (c[row].as_py() for c in columns)
+                for other in _merged(similarity, n, reps, ns):
+                    if other != rep:
+                        a.append(rep)
+                        b.append(other)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"]
             )
 
     pairs = asked.mapInArrow(run, "a long, b long")
-    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    with batches_of(pairs.sparkSession, SET_ROWS):
+        return settle(pairs)
 
 
 def _merged(
-    similarity: Similarity,
-    rep: int,
-    n: int,
-    part: int,
-    deal: int,
-    reps: list[list[int]],
-    ns: list[list[int]],
-    parts: list[list[int]],
+    similarity: Similarity, n: int, reps: list[list[int]], ns: list[list[int]]
 ) -> Iterator[int]:
-    """Documents of other components that occur often enough in the short lists.
+    """Documents that occur often enough in the short lists of a set of n.
 
-    A document occurs with the same size in all lists, or once for each of its sizes.
+    Lists are merged by heap. A document has the same size in all lists, or is looked for
+    with each of its sizes.
     """
-    runs = [list(zip(*x)) for x in zip(reps, ns, parts)]
     last, times = None, 0
-    for entry in [*heapq.merge(*runs), None]:
+    for entry in [*heapq.merge(*[list(zip(*x)) for x in zip(reps, ns)]), None]:
         if entry == last:
             times += 1
             continue
-        if last is not None and last[0] != rep and last[2] != part:
-            m = last[1]
-            beyond = max(similarity.least(m), similarity.least(n)) - 1
-            fits = 100 * min(m, n) >= similarity.percent * max(m, n)
-            if fits and times + beyond >= similarity.overlap(m, n):
+        if last is not None:
+            beyond = max(similarity.least(last[1]), similarity.least(n)) - 1
+            if times + beyond >= similarity.overlap(last[1], n):
                 yield last[0]
         last, times = entry, 1
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: Similarity) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough."""
-    pairs = settle(pairs)
+    """The pairs (a, b), a written table, whose whole sets are similar enough."""
     bit = F.pmod(F.xxhash64("doc"), F.lit(FILTER_BITS)).cast("int")
     needed = pairs.select(F.col("a").alias("doc")).union(pairs.select("b"))
     bits = needed.select(bit.alias("bit")).distinct().toArrow().column("bit").to_numpy()
@@ -386,4 +395,5 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: Similarity) -> Dat
     left = all_sets.select(F.col("doc").alias("a"), F.col("set").alias("set_a"))
     right = all_sets.select(F.col("doc").alias("b"), F.col("set").alias("set_b"))
     full = pairs.join(left, "a").join(right, "b")
-    return settle(full.mapInArrow(probe, "a long, b long").distinct())
+    with batches_of(pairs.sparkSession, SET_ROWS):
+        return settle(full.mapInArrow(probe, "a long, b long").distinct())

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 LONG_WORD = 256
 BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
