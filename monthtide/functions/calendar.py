@@ -12,6 +12,8 @@ from monthtide.functions.names import column_named
 DATE_TEXT_FORMAT = "d/M/yyyy"
 DATE_TEXT_PATTERN = r"^\d{1,2}/\d{1,2}/\d{4}$"
 
+UTC = "UTC"
+
 
 def parse_date_text(text: Column) -> Column:
     """``dd/MM/yyyy`` text to a date; one-digit days and months are accepted.
@@ -25,11 +27,19 @@ def parse_date_text(text: Column) -> Column:
     return F.coalesce(parsed, F.raise_error(problem).cast("date"))
 
 
-def event_date(df: DataFrame, name: str) -> Column:
-    """Date of each row, from a text, date or timestamp column. Null raises."""
+def event_date(df: DataFrame, name: str, time_zone: str = UTC) -> Column:
+    """Date of each row, from a text, date or timestamp column. Null raises.
+
+    A timestamp that is a point in time has its date in ``time_zone``, whatever the zone
+    of the session; one without a zone has its own.
+    """
     column = column_named(name)
-    if isinstance(df.schema[name].dataType, T.StringType):
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.StringType):
         return parse_date_text(column)
+    if isinstance(kind, T.TimestampType):
+        there = F.from_utc_timestamp(column, time_zone)
+        column = F.date_from_unix_date(F.floor(F.unix_seconds(there) / 86_400).cast("int"))
     return F.coalesce(
         column.cast("date"), F.raise_error(F.lit(f"null in date column {name}")).cast("date")
     )

@@ -9,24 +9,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from monthtide.operators.series import Bounds, categories
-from monthtide.shared import settle
-
-# Up to this many rows are ranked by one task; more are ranked by a distributed sort.
-ONE_TASK_ROWS = 200_000
+from monthtide.shared import Workspace
 
 # Fixed value: the fewest bins a tree uses.
 MIN_BINS = 32
 
 
 def rank_rows(
-    df: DataFrame, order: list[Column], name: str, rows: int, one_task_rows: int = ONE_TASK_ROWS
+    df: DataFrame, order: list[Column], name: str, work: Workspace | None = None
 ) -> DataFrame:
-    """Add the 0-based position in ``order``, which must have no ties."""
-    if rows <= one_task_rows:
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)) - 1)
-    # Range-partitioned sort, settled so that the positions cannot change; then each
-    # partition starts where the ones before it end.
-    placed = settle(
+    """Add the 0-based position in ``order``, which must have no ties.
+
+    Range-partitioned sort, settled so that the positions cannot change; then each
+    partition starts where the ones before it end.
+    """
+    work = work or Workspace(df.sparkSession)
+    placed = work.settle(
         df.orderBy(*order)
         .withColumn("_at", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_at", 33))
@@ -59,9 +57,7 @@ def nominal(column: Column, name: str, n_values: int) -> Column:
     return column.alias(name, metadata=attribute)
 
 
-def category_index(
-    series: DataFrame, bounds: Bounds, one_task_rows: int = ONE_TASK_ROWS
-) -> DataFrame:
+def category_index(series: DataFrame, bounds: Bounds, work: Workspace | None = None) -> DataFrame:
     """``category, category_idx``: 0 for the category active in most months.
 
     Ties are in category order; a null category raises. ``series`` has
@@ -73,8 +69,7 @@ def category_index(
         categories(series, "active_months"),
         [F.desc("active_months"), F.asc("category")],
         "category_idx",
-        bounds.categories,
-        one_task_rows,
+        work,
     )
     index = F.col("category_idx").cast("double")
     return ranked.select("category", nominal(index, "category_idx", bounds.categories))

@@ -54,9 +54,15 @@ def isotonic(training: DataFrame) -> IsotonicRegressionModel:
     return IsotonicRegression(weightCol="weight", featureIndex=0, **COLUMNS).fit(assemble(merged))
 
 
+def check_depth(max_depth: int) -> int:
+    if not 0 <= max_depth <= MAX_DEPTH:
+        raise ValueError(f"a tree's depth is from 0 to {MAX_DEPTH}, not {max_depth}")
+    return max_depth
+
+
 def tree_estimator(max_depth: int = 5, max_bins: int = MIN_BINS) -> DecisionTreeRegressor:
     return DecisionTreeRegressor(
-        maxDepth=min(max_depth, MAX_DEPTH), maxBins=max_bins, seed=SEED, **COLUMNS
+        maxDepth=check_depth(max_depth), maxBins=max_bins, seed=SEED, **COLUMNS
     )
 
 
@@ -67,12 +73,20 @@ def tree(
 
 
 def forest(
-    training: DataFrame, num_trees: int, max_depth: int = 5, max_bins: int = MIN_BINS
+    training: DataFrame,
+    num_trees: int,
+    max_depth: int = 5,
+    max_bins: int = MIN_BINS,
+    bootstrap: bool = True,
+    feature_subset: str = "auto",
 ) -> RandomForestRegressionModel:
+    """Mean of trees on samples of the rows (``bootstrap``) and of the features per node."""
     return RandomForestRegressor(
         numTrees=num_trees,
-        maxDepth=min(max_depth, MAX_DEPTH),
+        maxDepth=check_depth(max_depth),
         maxBins=max_bins,
+        bootstrap=bootstrap,
+        featureSubsetStrategy=feature_subset,
         seed=SEED,
         **COLUMNS,
     ).fit(training)

@@ -8,22 +8,24 @@ from __future__ import annotations
 import datetime as dt
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from monthtide.functions.calendar import event_date, month_start
+from monthtide.functions.calendar import UTC, event_date, month_start
 from monthtide.functions.names import column_named
 
 
-def monthly_counts(df: DataFrame, date_col: str, by: str | None = None) -> DataFrame:
+def monthly_counts(
+    df: DataFrame, date_col: str, by: str | None = None, time_zone: str = UTC
+) -> DataFrame:
     """Rows per month, or per month and category.
 
     By category only rows with a category are counted, so a null category makes a
     group with n = 0. The count is combined before the shuffle: at most months x
     categories rows leave a task, whatever the size or skew of the input.
     """
-    month = month_start(event_date(df, date_col)).alias("month")
+    month = month_start(event_date(df, date_col, time_zone)).alias("month")
     if by is None:
         return df.select(month).groupBy("month").agg(F.count("month").alias("n"))
     category = column_named(by).alias("category")
@@ -81,16 +83,21 @@ class Bounds(NamedTuple):
 
 def bounds_frame(series: DataFrame) -> DataFrame:
     """Last month, highest month number and sizes in one aggregate."""
+    return series.agg(*bounds_columns(series))
+
+
+def bounds_columns(series: DataFrame) -> list[Column]:
+    """The aggregates of ``Bounds``, which may also be observed while a table is written."""
     grouped = "category" in series.columns
     first = F.col("id") == 1
-    return series.agg(
+    return [
         F.max("month").alias("last_month"),
         F.max("id").cast("int").alias("last_id"),
         F.count(F.lit(1)).alias("rows"),
         F.count(F.when(first, 1)).alias("categories"),
         (F.count(F.when(F.col("category").isNull(), 1)) if grouped else F.lit(0).cast("bigint"))
         .alias("null_categories"),
-    )
+    ]
 
 
 def series_bounds(series: DataFrame) -> Bounds:

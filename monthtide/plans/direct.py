@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame
 
 from monthtide.operators.features import assemble
 from monthtide.operators.future import check_horizon, future_frame
-from monthtide.operators.tuning import tune_generalized_linear
+from monthtide.operators.tuning import PARALLELISM, tune_generalized_linear
 from monthtide.plans.finish import finish
 from monthtide.plans.training import MonthlySeries
 
 
-def tuned_glr(training: DataFrame) -> Model:
-    return tune_generalized_linear(training).model
+def tuned_glr(training: DataFrame, parallelism: int = PARALLELISM) -> Model:
+    return tune_generalized_linear(training, parallelism=parallelism).model
 
 
 def forecast_direct(

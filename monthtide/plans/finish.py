@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from monthtide.functions.numeric import clamp_negative, round_half_up
 
 
+# The columns of a forecast beside the category, and the sentence below.
+OUTPUT_COLUMNS = ("date", "prediction")
+
+
 def finish(predicted: DataFrame, by: str | None, clamp: bool) -> DataFrame:
     """``Date, [<by>], prediction``: rounded first, then clamped if asked."""
     value: Column = round_half_up(F.col("prediction"))

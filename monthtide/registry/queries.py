@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,6 +49,7 @@ from monthtide.shared import scratch_path, settle
 from monthtide.sources.forecast_files import (
     direct_name,
     recursive_name,
+    recursive_name_from_input,
     write_forecast,
     write_parts,
 )
@@ -289,7 +291,7 @@ def holdout_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("index_range_filter")
 def index_range_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = category_series(spark, sf_dir, "supplier")
-    return index_range(series.frame, 0.0, 2.0).select(
+    return index_range(series.rows, 0.0, 2.0).select(
         "month", "category", "n", "id", "category_idx"
     )
 
@@ -299,16 +301,15 @@ def index_range_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("category_index")
 def category_index_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return category_series(spark, sf_dir, "supplier").frame.select(
+    return category_series(spark, sf_dir, "supplier").rows.select(
         "month", "category", "n", "id", "category_idx"
     )
 
 
 @query("category_index_by_customer")
 def category_index_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The index by a distributed sort, as for more categories than one task ranks."""
     sparse = settle(with_active_months(sparse_month_index_by_customer(spark, sf_dir)))
-    index = category_index(sparse, series_bounds(sparse), one_task_rows=100)
+    index = category_index(sparse, series_bounds(sparse))
     return add_category_index(sparse, index).select("month", "category", "id", "category_idx")
 
 
@@ -514,20 +515,56 @@ def deep_tree_two_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def forest_rows(series: MonthlySeries, trees: int, depth: int) -> DataFrame:
+def whole_forest_rows(series: MonthlySeries) -> DataFrame:
+    """A forest of all rows and all features: each of its trees is the single tree."""
     bins = tree_bins(series)
     train, test = holdout(series.frame, TEST_AFTER, TEST_AFTER)
-    return fitted_rows(series, lambda df: models.forest(df, trees, depth, bins), train, test)
+    predicted = fitted_rows(
+        series, lambda df: models.forest(df, 10, 3, bins, False, "all"), train, test
+    )
+    return predicted.withColumn("prediction", rounded("prediction"))
+
+
+@query("whole_forest_overall")
+def whole_forest_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whole_forest_rows(overall_series(spark, sf_dir))
+
+
+@query("whole_forest_by_supplier")
+def whole_forest_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whole_forest_rows(category_series(spark, sf_dir, "supplier"))
+
+
+def forest_rows(series: MonthlySeries, trees: int, depth: int) -> DataFrame:
+    """The tested rows, ``prediction``, and what holds for it however a forest samples.
+
+    ``is_mean``: it is the mean of the trees' own predictions. ``in_range``: it lies within
+    the training labels.
+    """
+    train, test = holdout(series.frame, TEST_AFTER, TEST_AFTER)
+    forest = models.forest(train, trees, depth, tree_bins(series))
+    predicted = forest.transform(test)
+    own = [f"tree_{i}" for i in range(trees)]
+    for name, tree in zip(own, forest.trees):
+        predicted = tree.setPredictionCol(name).transform(predicted)
+    low, high = train.agg(F.min("n"), F.max("n")).first()
+    mean = reduce(lambda a, b: a + b, [F.col(c) for c in own]) / trees
+    category = ["category"] if series.by else []
+    return predicted.select(
+        "month", *category, F.col("id"), "n", "prediction",
+        (F.abs(F.col("prediction") - mean) < 1e-9 * (1 + F.abs(mean))).alias("is_mean"),
+        F.col("prediction").between(low, high).alias("in_range"),
+    )
 
 
 @query("forest_fit_predict")
 def forest_fit_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return forest_rows(overall_series(spark, sf_dir), 3, 5)
+    return forest_rows(overall_series(spark, sf_dir), 3, 5).drop("prediction")
 
 
 @query("forest_by_supplier")
 def forest_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return forest_rows(category_series(spark, sf_dir, "supplier"), 10, 3)
+    return forest_rows(category_series(spark, sf_dir, "supplier"), 10, 3).drop("prediction")
 
 
 # --- evaluation and tuning ---------------------------------------------------------
@@ -594,7 +631,12 @@ def tree_metrics_by_returnflag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("forest_metrics_by_supplier")
 def forest_metrics_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics_frame(forest_by_supplier(spark, sf_dir))
+    """What holds for the metrics of any predictions within the labels' range."""
+    rows = forest_rows(category_series(spark, sf_dir, "supplier"), 10, 3)
+    return metrics_frame(rows).select(
+        ((F.col("mae") >= 0) & (F.col("mae") <= F.col("rmse"))).alias("mae_at_most_rmse"),
+        (F.col("r2") <= 1).alias("r2_at_most_one"),
+    )
 
 
 @query("cv_model_choice")
@@ -655,16 +697,65 @@ def tree_forecast_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast_recursive(category_series(spark, sf_dir, "priority"), HORIZON)
 
 
-def orders_csv_job(spark: SparkSession, sf_dir: str, by: str, method: str) -> DataFrame:
-    """From CSV file to CSV file: the forecast as written, read back."""
-    texts = order_texts(spark, sf_dir)
+@query("tree_forecast_six_months")
+def tree_forecast_six_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forecast_recursive(overall_series(spark, sf_dir), 6)
+
+
+@query("tree_forecast_by_supplier")
+def tree_forecast_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many bins as suppliers, one more category set each step."""
+    return forecast_recursive(category_series(spark, sf_dir, "supplier"), 2)
+
+
+@query("ols_recursive_overall")
+def ols_recursive_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forecast_recursive(overall_series(spark, sf_dir), HORIZON, fit=models.linear)
+
+
+def orders_csv_job(
+    spark: SparkSession, sf_dir: str, by: str, method: str, null_status: str = "", **options
+) -> DataFrame:
+    """From CSV file to CSV file: the forecast as written, read back.
+
+    Orders of the status ``null_status`` have none in the file.
+    """
+    texts = order_texts(spark, sf_dir).withColumn(
+        "specialty", F.when(F.col("specialty") != null_status, F.col("specialty"))
+    )
     path = f"{scratch_path(spark, 'job')}/records.csv"
     write_parts(texts, path)
     out = scratch_path(spark, "job")
-    forecast = run_forecast_job(spark, path, by, HORIZON, out, method)
-    name = recursive_name if method == "recursive" else direct_name
-    written = spark.read.schema(forecast.schema).option("header", True)
-    return written.csv(name(by, HORIZON, out))
+    forecast = run_forecast_job(spark, path, by, HORIZON, out, method, **options)
+    if options.get("name_from_input"):
+        name = recursive_name_from_input(by, HORIZON, path, out)
+    else:
+        name = (recursive_name if method == "recursive" else direct_name)(by, HORIZON, out)
+    return spark.read.schema(forecast.schema).option("header", True).csv(name)
+
+
+@query("forecast_job_named_after_input")
+def forecast_job_named_after_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orders_csv_job(
+        spark, sf_dir, "Overall", "recursive", name_from_input=True, fit=models.linear
+    )
+
+
+@query("forecast_job_without_nulls")
+def forecast_job_without_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders without a category are left out."""
+    return orders_csv_job(
+        spark, sf_dir, "specialty", "direct", null_status="P", null_category="drop"
+    )
+
+
+@query("forecast_job_allowed_dimension")
+def forecast_job_allowed_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The date column named, the dimension from a list, several sorted files."""
+    return orders_csv_job(
+        spark, sf_dir, "priority", "direct",
+        date_col="removal_date", allowed=["overall", "priority"], files=2,
+    )
 
 
 @query("forecast_job_direct")

@@ -2,38 +2,68 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors can reach.
+def shared_dir(spark: SparkSession, work_dir: str | None = None) -> str:
+    """Folder all executors can reach: ``work_dir``, or what ``spark.checkpoint.dir`` names.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local-mode session
-    without that setting gets a temporary folder of its own.
+    Only a local-mode session without that setting uses a temporary folder, one for the
+    whole process and gone with it. The session's settings are left as they are.
     """
     sc = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    folder = work_dir or spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not folder:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="monthtide-")
-        sc.setCheckpointDir(folder)
+        folder = _local_dir()
     return folder
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/monthtide/{name}-{uuid.uuid4().hex}"
+@functools.cache
+def _local_dir() -> str:
+    folder = tempfile.mkdtemp(prefix="monthtide-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
 
+def scratch_path(spark: SparkSession, name: str, work_dir: str | None = None) -> str:
+    return f"{shared_dir(spark, work_dir).rstrip('/')}/monthtide/{name}-{uuid.uuid4().hex}"
 
-def settle(df: DataFrame) -> DataFrame:
+
+def settle(df: DataFrame, work_dir: str | None = None) -> DataFrame:
     """Compute ``df`` once, as a table in the shared folder, and read that from here on.
 
     Used right after the scan of the raw rows, so that neither the many fits that
     follow nor the loss of an executor scans them again.
     """
-    path = scratch_path(df.sparkSession, "settled")
+    path = scratch_path(df.sparkSession, "settled", work_dir)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Workspace:
+    """Settled tables that go together once nothing reads them any more."""
+
+    def __init__(self, spark: SparkSession, work_dir: str | None = None):
+        self.spark, self.paths = spark, []
+        self.work_dir = work_dir
+
+    def settle(self, df: DataFrame) -> DataFrame:
+        path = scratch_path(self.spark, "settled", self.work_dir)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def remove(self) -> None:
+        """Remove the tables, on whatever file system they are."""
+        sc = self.spark.sparkContext
+        while self.paths:
+            path = sc._jvm.org.apache.hadoop.fs.Path(self.paths.pop())
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)

@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 
 from monthtide.sources.tables import OVERALL
 
-# A forecast up to this many rows is written as one part file by one task.
-SINGLE_FILE_ROWS = 1_000_000
+# Fixed values below: the names of forecast files.
 
 
 def recursive_name(by: str, horizon: int, save_path: str | None = None) -> str:
@@ -42,20 +41,22 @@ def direct_name(by: str, horizon: int, save_path: str | None = None) -> str:
 def write_forecast(
     forecast: DataFrame,
     path: str,
-    rows: int | None = None,
-    single_file_rows: int = SINGLE_FILE_ROWS,
+    files: int | None = 1,
 ) -> None:
-    """CSV with a header, replacing ``path``.
+    """CSV with a header, replacing ``path``, sorted by date and category.
 
-    One part file when the forecast has at most ``single_file_rows`` rows, else one
-    per partition. ``rows`` saves counting when the caller knows it.
+    ``files`` part files, one by default; None leaves the number to Spark. Each file is
+    sorted, and with more than one they follow each other.
     """
-    if rows is None:
-        rows = forecast.count()
-    if rows <= single_file_rows:
+    keys = forecast.columns[:-1]
+    if files == 1:
         # repartition, not coalesce: the predicting stays parallel, one task writes.
-        forecast = forecast.repartition(1).sortWithinPartitions(*forecast.columns[:-1])
-    forecast.write.csv(path, mode="overwrite", header=True)
+        laid_out = forecast.repartition(1)
+    elif files is None:
+        laid_out = forecast.repartitionByRange(*keys)
+    else:
+        laid_out = forecast.repartitionByRange(files, *keys)
+    laid_out.sortWithinPartitions(*keys).write.csv(path, mode="overwrite", header=True)
 
 
 def write_parts(df: DataFrame, path: str, fmt: str = "csv") -> None:

@@ -29,11 +29,10 @@ def gappy(spark, n_categories):
     )
 
 
-@pytest.mark.parametrize("one_task_rows", [1000, 1])
-def test_index_equals_string_indexer(spark, one_task_rows):
+def test_index_equals_string_indexer(spark):
     numbered = number_months(monthly_counts(gappy(spark, 40), "removal_date", "doctor"))
     series = with_active_months(numbered)
-    index = category_index(series, series_bounds(series), one_task_rows)
+    index = category_index(series, series_bounds(series))
     want = StringIndexer(inputCol="category", outputCol="i").fit(numbered).transform(numbered)
     assert {(r.category, r.category_idx) for r in index.collect()} == {
         (r.category, r.i) for r in want.select("category", "i").collect()
@@ -43,7 +42,7 @@ def test_index_equals_string_indexer(spark, one_task_rows):
 def test_distributed_rank(spark):
     value = F.hash("id").cast("long") * 8192 + F.col("id")
     df = spark.range(5000, numPartitions=7).select(value.alias("v"))
-    ranked = rank_rows(df, [F.col("v").desc()], "rank", 5000, one_task_rows=10)
+    ranked = rank_rows(df, [F.col("v").desc()], "rank")
     rows = sorted(ranked.collect(), key=lambda r: -r.v)
     assert [r["rank"] for r in rows] == list(range(5000))
 

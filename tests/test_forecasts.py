@@ -121,3 +121,51 @@ def test_job_writes_what_it_returns(spark, csv_path, tmp_path):
 def test_job_checks_its_arguments(spark, csv_path, arguments, message):
     with pytest.raises(ValueError, match=message):
         run_forecast_job(spark, csv_path, **arguments)
+
+
+def test_job_leaves_nothing_behind(spark, csv_path, tmp_path):
+    work, before = tmp_path / "work", spark.sparkContext.getCheckpointDir()
+    run_forecast_job(
+        spark, csv_path, "doctor", 2, str(tmp_path / "out"), work_dir=str(work), fit=models.linear
+    ).collect()
+    assert not [p for p in work.rglob("*") if p.is_file()]
+    kept = run_forecast_job(
+        spark, csv_path, "doctor", 2, work_dir=str(work), fit=models.linear, parallelism=2
+    )
+    assert kept.count() == 6
+    assert len({p.parent for p in work.rglob("*.parquet")}) == 1
+    assert spark.sparkContext.getCheckpointDir() == before
+
+
+@pytest.mark.parametrize("name", ["Prediction", "date"])
+def test_dimension_called_like_an_output_column(spark, name):
+    df = events(spark, {("a", JAN): 2}).withColumnRenamed("doctor", name)
+    with pytest.raises(ValueError, match="rename"):
+        build_series(df, name, "removal_date")
+
+
+def test_points_in_time_have_the_date_of_the_given_zone(spark):
+    df = spark.sql("select timestamp'2020-01-31T23:30:00Z' as at union all select timestamp'2020-02-10T00:00:00Z'")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for session in ("UTC", "Asia/Tokyo", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", session)
+            for zone, want in (("UTC", 2), ("Asia/Tokyo", 1)):
+                series = build_series(df, date_col="at", time_zone=zone)
+                assert series.rows.count() == want, (session, zone)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_recursion_with_another_model(records):
+    series = build_series(records, "doctor")
+    forecast = forecast_recursive(series, 2, fit=models.linear)
+    check_whole(forecast, 2, ["a", "b", "c"], dt.date(2015, 12, 1))
+
+
+def test_partitioning_does_not_change_the_recursion(records):
+    got = [
+        sorted(forecast_recursive(build_series(records.repartition(n), "doctor"), 2).collect())
+        for n in (1, 13)
+    ]
+    assert got[0] == got[1]

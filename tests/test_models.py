@@ -56,8 +56,19 @@ def test_forest_predicts_within_the_labels(by_doctor):
     assert 1 <= min(values) < max(values) <= top
 
 
-def test_too_deep_is_as_deep_as_possible(by_doctor):
-    assert models.tree_estimator(32).getMaxDepth() == 30
+@pytest.mark.parametrize("depth", [31, 99, -1])
+def test_no_tree_is_that_deep(by_doctor, depth):
+    with pytest.raises(ValueError, match="depth"):
+        models.tree(by_doctor.frame, depth)
+    with pytest.raises(ValueError, match="depth"):
+        models.forest(by_doctor.frame, 2, depth)
+    assert models.tree_estimator(30).getMaxDepth() == 30
+
+
+def test_forest_of_all_rows_is_the_tree(by_doctor):
+    forest = models.forest(by_doctor.frame, 4, 3, bootstrap=False, feature_subset="all")
+    want = predictions(models.tree(by_doctor.frame, 3), by_doctor)
+    assert predictions(forest, by_doctor) == pytest.approx(want)
 
 
 def test_exact_line(spark):

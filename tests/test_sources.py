@@ -75,13 +75,14 @@ def test_forecast_files(spark, tmp_path):
     forecast = spark.range(10, numPartitions=4).selectExpr(
         "date'2015-01-01' as Date", "cast(id as double) as prediction"
     )
-    one, many, parts = (str(tmp_path / n) for n in ("one", "many", "parts"))
+    one, many, free, parts = (str(tmp_path / n) for n in ("one", "many", "free", "parts"))
     for _ in range(2):  # the second write replaces the first
         write_forecast(forecast, one)
-    write_forecast(forecast, many, rows=10, single_file_rows=9)
+    write_forecast(forecast, many, files=3)
+    write_forecast(forecast, free, files=None)
     write_parts(forecast, parts, "csv")
     assert len(glob.glob(f"{one}/part-*.csv")) == 1
-    assert len(glob.glob(f"{many}/part-*.csv")) == len(glob.glob(f"{parts}/part-*.csv")) == 4
-    for path in (one, many, parts):
+    assert len(glob.glob(f"{parts}/part-*.csv")) == 4
+    for path in (one, many, free, parts):
         rows = spark.read.option("header", True).csv(path)
         assert rows.columns == ["Date", "prediction"] and rows.count() == 10
