@@ -65,7 +65,7 @@ LINES = re.compile(r" ?\n[\n ]*")
 def plain_text(page: str) -> str:
     """The text of a page: one line for each block, entities decoded, blanks single."""
     text = MARKUP.sub(
-        lambda m: "\n" if (m.group(2) or "").lower() in BLOCKS else ("" if m.group(2) else " "), page
+        lambda m: "\n" if (m.group(2) or "").lower() in BLOCKS else "", page
     )
     return LINES.sub("\n", BLANKS.sub(" ", html.unescape(text).replace("\r", "\n"))).strip()
 
