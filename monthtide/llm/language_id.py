@@ -108,49 +108,58 @@ def fit(
     )
     sample = drawn.mapInArrow(_features, "lang string, features binary").toArrow()
     labels = np.array(sample.column("lang").to_pylist())
-    x = np.stack([np.frombuffer(v.as_py(), np.float32) for v in sample.column("features")])
-    order = np.lexsort((x @ np.arange(1, BINS + 1, dtype=np.float32), labels))
-    return _learn(x[order], labels[order], families)
-
-
-def _learn(x: np.ndarray, labels: np.ndarray, families: dict[str, Sequence[str]]) -> Model:
+    # The sample is held once: scaled, with a last column for the bias.
+    x = np.ones((len(labels), BINS + 1), np.float32)
+    for row, v in zip(x, sample.column("features"), strict=True):
+        row[:-1] = np.frombuffer(v.as_buffer(), np.float32)
+    del sample
+    order = np.lexsort((x[:, :-1] @ np.arange(1, BINS + 1, dtype=np.float32), labels))
+    x[:, :-1] *= SCALE
+    return _learn(x, order, labels, families)
+
+
+def _learn(
+    x: np.ndarray, order: np.ndarray, labels: np.ndarray, families: dict[str, Sequence[str]]
+) -> Model:
     family_of = {lang: name for name, members in families.items() for lang in members}
     groups: dict[str, list[str]] = {}
     for lang in sorted(set(labels.tolist())):
         groups.setdefault(family_of.get(lang, f"={lang}"), []).append(lang)
     machines, planes = [], []
 
-    def add(first: str, second: str | None, chosen: np.ndarray, positive: np.ndarray) -> None:
-        plane = _support_vectors(x[chosen], np.where(positive, 1.0, -1.0).astype(np.float32))
+    def add(first: str, second: str | None, chosen: np.ndarray, positive: Sequence[str]) -> None:
+        y = np.where(np.isin(labels[chosen], positive), 1.0, -1.0).astype(np.float32)
+        plane = _support_vectors(x, chosen, y)
         machines.append(Machine(first, second, float(plane[-1])))
         planes.append(plane[:-1])
 
     if len(groups) > 1:
         for name, members in groups.items():
-            add(name, None, np.ones(len(labels), bool), np.isin(labels, members))
+            add(name, None, order, members)
     for members in groups.values():
         for a, b in combinations(members, 2):
-            chosen = np.isin(labels, [a, b])
-            add(a, b, chosen, labels[chosen] == a)
+            add(a, b, order[np.isin(labels[order], [a, b])], [a])
     weights = np.stack(planes, 1) if planes else np.zeros((BINS, 0))
     return Model(groups, machines, np.ascontiguousarray(weights, np.float32))
 
 
-def _support_vectors(x: np.ndarray, y: np.ndarray, cost: float = 10.0, rounds: int = 30):
-    """Plane with the largest soft margin, by coordinate descent on the dual; bias last."""
-    scale = SCALE
-    x = np.concatenate([x * scale, np.ones((len(x), 1), np.float32)], axis=1)
-    size = np.einsum("ij,ij->i", x, x)
-    alpha, plane = np.zeros(len(x)), np.zeros(x.shape[1])
+def _support_vectors(
+    x: np.ndarray, chosen: np.ndarray, y: np.ndarray, cost: float = 10.0, rounds: int = 30
+):
+    """Plane with the largest soft margin between the chosen rows, by coordinate descent on the
+    dual; bias last. Rows are read where they are, so the sample is never copied."""
+    size = np.array([x[k] @ x[k] for k in chosen])
+    alpha, plane = np.zeros(len(chosen)), np.zeros(x.shape[1])
     rng = np.random.default_rng(0)
     for _ in range(rounds):
-        for i in rng.permutation(len(x)):
-            step = (y[i] * (x[i] @ plane) - 1) / size[i]
+        for i in rng.permutation(len(chosen)):
+            row = x[chosen[i]]
+            step = (y[i] * (row @ plane) - 1) / size[i]
             new = min(max(alpha[i] - step, 0.0), cost)
             if new != alpha[i]:
-                plane += (new - alpha[i]) * y[i] * x[i]
+                plane += (new - alpha[i]) * y[i] * row
                 alpha[i] = new
-    return np.concatenate([plane[:-1] * scale, plane[-1:]])
+    return np.concatenate([plane[:-1] * SCALE, plane[-1:]])
 
 
 #: Shares of n-grams are small numbers; the machines learn them at this scale.
