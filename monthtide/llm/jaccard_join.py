@@ -16,9 +16,10 @@ the long ones. Here:
 3. Every document is compared with the smallest document of the list pattern it shares most
    with. The components of these links pull groups of near copies together, so that their
    pairs need not be written out: only links between different components matter below.
-4. Lists within one component go. Of the rest, each document whose component isn't the most
-   frequent of the list gets the list; a heap merges a document's short lists, and candidates
-   that occur less often than ``T`` less the number of long lists are dropped.
+4. Lists within one component go. The components are put in one order, and each document gets
+   of its lists what belongs to later components, so that all that two documents share is
+   counted on one side; a heap merges a document's short lists, and candidates that occur less
+   often than ``T`` less the number of long lists are dropped.
 5. The surviving pairs probe each other's sorted whole sets by binary search.
 
 Shingles are compared by 64-bit hashes of their words.
@@ -53,6 +54,8 @@ TEXT_ROWS, SET_ROWS = 2_000, 250
 FILTER_BITS = 1 << 23
 #: Documents of a list that one row may hold; longer lists are dealt out by document.
 LIST_ROWS = 100_000
+#: The largest components, told to all tasks; the others are ordered by identifier alone.
+LARGE = 10_000
 
 
 @dataclass(frozen=True)
@@ -277,6 +280,12 @@ def _enough(similarity: Similarity, m, n, shared):
 
 def _candidates(short: DataFrame, parts: DataFrame, similarity: Similarity) -> DataFrame:
     """a, b: classes of different components that occur in each other's short lists often enough."""
+    # Any order of the components gives each pair one side that asks for all lists they share;
+    # with the largest last, the members of large components seldom ask.
+    large = settle(
+        parts.groupBy("component").count().orderBy(F.desc("count"), "component").limit(LARGE)
+        .select(F.col("component").alias("part"), F.col("count").alias("members"))
+    )
     rows = short.join(parts, short["rep"] == parts["node"], "left").select(
         "token", "rep", "n", F.coalesce("component", "rep").alias("part")
     )
@@ -286,26 +295,32 @@ def _candidates(short: DataFrame, parts: DataFrame, similarity: Similarity) -> D
         .where("low <> high")
         .select("token")
     )
-    rows = settle(rows.join(split_up, "token"))
-    main = (
-        rows.groupBy("token", "part")
-        .count()
-        .groupBy("token")
-        .agg(F.max_by("part", F.struct("count", "part")).alias("main"))
+    place = F.struct(F.coalesce("members", F.lit(0)).alias("members"), "part")
+    rows = settle(
+        rows.join(split_up, "token")
+        .join(F.broadcast(large), "part", "left")
+        .select("token", "rep", "n", place.alias("part"))
     )
-    asking = rows.join(main, "token").where("part <> main")
+    last = rows.groupBy("token").agg(F.max("part").alias("last"))
+    asking = rows.join(last, "token").where("part <> last").drop("last")
     dealt = max(1, -(-rows.select("rep").distinct().count() // LIST_ROWS))
     lists = (
-        rows.groupBy("token", F.pmod(F.xxhash64("rep"), F.lit(dealt)).alias("deal"))
-        .agg(F.sort_array(F.collect_list(F.struct("rep", "n", "part"))).alias("list"))
+        rows.groupBy("token", "part", F.pmod(F.xxhash64("rep"), F.lit(dealt)).alias("deal"))
+        .agg(F.sort_array(F.collect_list(F.struct("rep", "n"))).alias("members"))
+        .groupBy("token", "deal")
+        .agg(F.collect_list(F.struct(F.col("part").alias("of"), "members")).alias("lists"))
     )
-    joined = asking.select("token", "rep", "n", "part").join(lists, "token")
+    joined = asking.join(lists, "token")
     # What can't be a partner, by component or size, goes before the lists move.
     percent = F.lit(similarity.percent)
-    partners = F.filter(
-        "list",
-        lambda x: (x["part"] != F.col("part"))
-        & (100 * F.least(x["n"], F.col("n")) >= percent * F.greatest(x["n"], F.col("n"))),
+    later = F.flatten(
+        F.transform(F.filter("lists", lambda x: x["of"] > F.col("part")), lambda x: x["members"])
+    )
+    partners = F.sort_array(
+        F.filter(
+            later,
+            lambda x: 100 * F.least(x["n"], F.col("n")) >= percent * F.greatest(x["n"], F.col("n")),
+        )
     )
     asked = (
         joined.select("rep", "n", "deal", partners.alias("list"))

@@ -84,6 +84,29 @@ def test_frequent_shingles_and_hot_group(spark):
     assert Counter(map(tuple, got)) == brute(rows)
 
 
+def test_bridged_clusters(spark):
+    """Two clusters of near copies, with one pair near the bound between them, many times."""
+    rng = random.Random(6)
+    rows, want, base_id = [], Counter(), 0
+    for _ in range(400):
+        base = sentence(rng, 24, 10**6).split()
+        other = list(base)
+        other[-2] = "bridge"
+        family = [" ".join(base), " ".join(other)]
+        for whole in (base, other):
+            for _ in range(rng.randrange(2, 7)):
+                text = list(whole)
+                text[rng.choice([0, 1, -1])] = f"e{rng.randrange(10**6)}"
+                family.append(" ".join(text))
+        rng.shuffle(family)
+        family = list(enumerate(family, base_id))
+        base_id += len(family)
+        rows += family
+        want += brute(family)
+    got = Counter(map(tuple, jaccard_components(documents(spark, rows)).collect()))
+    assert got == want
+
+
 def test_one_document_of_each_group_stays(spark):
     rng = random.Random(4)
     rows = near_copies(rng, 8) + [(None, "no identifier at all here")]
