@@ -1,7 +1,11 @@
 """Licence scans by sentence rules, in DataFrame operations only.
 
-A text is cut into sentences, each sentence is normalised (lower case, words of letters and
-digits, one blank between them) and looked up among known licence sentences; what is found is
+A text is cut into parts at line ends and after marks, and the parts are normalised (lower
+case, words of letters and digits, one blank between them). A known licence sentence is
+recognised where it is a whole part, or some parts in a row that are cut apart only by single
+line ends (with any comment marks), colons or semicolons: so notices are found as wrapped and
+commented in files. Of several that begin at the same part, the longest is taken, and it takes
+its parts. What is found is
 a sequence of sentence identifiers, in the text's order. Ordered licence rules, the longest
 texts first, are then matched against the sequence: a rule's identifiers must follow each
 other directly among the recognised sentences, and a rule takes the sentences it matches, so
@@ -17,6 +21,7 @@ entry, at its first place, and ``matches`` counts all.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -116,7 +121,7 @@ RULES: Sequence[tuple[str, Sequence[str]]] = (
     ("proprietary", ("reserved",)),
 )
 
-#: A sentence ends at a line's end, and after its mark before a blank.
+#: A part ends at a line's end, and after its mark before a blank.
 SENTENCE_END = r"[\n\r]+|(?<=[.!?:;])[ \t\n\x0B\f\r]+"
 
 
@@ -124,22 +129,43 @@ def sentences(text: Column) -> Column:
     return F.split(text, SENTENCE_END)
 
 
-def normal(sentence: Column) -> Column:
-    """Lower case; everything but letters and digits is one blank, none at the ends."""
-    return F.trim(F.regexp_replace(F.lower(sentence), r"[^\p{L}\p{N}]+", " "))
+#: What stands in normal text for a cut that a known sentence may span, and for one it may not.
+SOFT, HARD = "\u0001", "\u0002"
+_GAP = r"[^\p{L}\p{N}]"
+#: A gap between words that ends a sentence: a mark before a blank in the first line, or a blank
+#: line. Both look ahead from the gap's start only, so a long gap is read a fixed number of times.
+HARD_GAP = (
+    rf"(?<!{_GAP})(?:(?=[^\p{{L}}\p{{N}}\r\n]*?[.!?][ \t\n\x0B\f\r])"
+    rf"|(?=[^\p{{L}}\p{{N}}\r\n]*+(?>\r\n|\n|\r)[^\p{{L}}\p{{N}}\r\n]*+[\r\n])){_GAP}++"
+)
+_OPEN_GAP = r"[^\p{L}\p{N}\u0002]"
+SOFT_GAP = rf"(?<!{_OPEN_GAP})(?={_OPEN_GAP}*?(?:[\r\n]|[:;][ \t\n\x0B\f\r])){_OPEN_GAP}++"
+
+
+def normal(text: Column) -> Column:
+    """Lower case; what isn't letters and digits is one blank, or the mark of a cut."""
+    text = F.translate(F.lower(text), SOFT + HARD, "--")
+    for gap, mark in ((HARD_GAP, HARD), (SOFT_GAP, SOFT), (r"[^\p{L}\p{N}\u0001\u0002]+", " ")):
+        text = F.regexp_replace(text, gap, mark)
+    return F.trim(text)
 
 
 def recognised(text: Column, known: Mapping[str, str]) -> Column:
     """The identifiers of the known sentences of a text, in order, as ``<one><another>``."""
-    texts = F.array(*[F.lit(x) for x in known.values()])
-    names = F.array(*[F.lit(f"<{x}>") for x in known])
-    longest = max(map(len, known.values()))
-    candidates = F.filter(
-        F.transform(sentences(text), normal), lambda s: F.length(s).between(1, longest)
+    known = {k: x for k, x in known.items() if x}
+    if not known:
+        return F.lit("")
+    longest_first = sorted(set(known.values()), key=lambda x: (-len(x), x))
+    any_known = "|".join(
+        f"[ {SOFT}]".join(re.escape(w) for w in x.split(" ")) for x in longest_first
     )
-    places = F.filter(
-        F.transform(candidates, lambda s: F.array_position(texts, s)), lambda p: p > 0
+    cut = f"{SOFT}{HARD}"
+    found = F.regexp_extract_all(
+        normal(text), F.lit(f"(?<![^{cut}])(?:{any_known})(?![^{cut}])"), F.lit(0)
     )
+    texts = F.array(*[F.lit(x) for x in known.values()])
+    names = F.array(*[F.lit(f"<{x}>") for x in known])
+    places = F.transform(found, lambda x: F.array_position(texts, F.translate(x, SOFT, " ")))
     return F.array_join(F.transform(places, lambda p: F.get(names, (p - 1).cast("int"))), "")
 
 
@@ -163,7 +189,7 @@ def scan_licenses(
 ) -> DataFrame:
     """A row for each row of ``docs``.
 
-    doc_id, n_sentences (those with a word), recognised (the identifiers, in order, in
+    doc_id, n_sentences (the parts with a word), recognised (the identifiers, in order, in
     angle brackets), licenses (with a comma between) and matches (of rules).
     """
     for name in (*known, *[r[0] for r in rules]):

@@ -123,6 +123,102 @@ def test_licenses(spark):
     assert scan_licenses(docs.where("false")).count() == 0
 
 
+MIT_WRAPPED = """MIT License
+
+Copyright (c) 2020 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+BSD_WRAPPED = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+APACHE_WRAPPED = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+GPL_WRAPPED = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+
+
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// ", "! ", "\t;; "])
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\r"])
+def test_published_texts_as_wrapped(spark, mark, end):
+    def commented(text):
+        return end.join(f"{mark}{line}".rstrip() for line in text.splitlines())
+
+    def in_one_line(text):
+        return " ".join(text.split())
+
+    whole = {
+        MIT_WRAPPED: ("<mit-grant><mit-condition><as-is><no-liability>", "MIT", 1),
+        BSD_WRAPPED: ("<bsd-redistribution><bsd-source><bsd-binary>", "BSD-2-Clause", 1),
+        APACHE_WRAPPED: (
+            "<apache-notice-the><apache-compliance><apache-copy><apache-as-is><apache-see>", "Apache-2.0", 1,
+        ),
+        GPL_WRAPPED: ("<gpl-free><gpl-hope><gpl-details>", "GPL-3.0-or-later", 1),
+    }
+    docs = documents(spark, [
+        *[(i, commented(t)) for i, t in enumerate(whole)], (10, in_one_line(GPL_WRAPPED)),
+        (11, GPL_WRAPPED.replace(";", ":").replace("software:", "software;")),
+        # a sentence doesn't go on after its end or a blank line
+        (12, f"{mark}This is released under{end}{mark.strip()}{end}{mark}the MIT License."),
+        (13, "Released. Under the MIT License."), (14, "Released\x01under\x02the MIT License"),
+    ])
+    found = scan_licenses(docs)
+    no_python(found)
+    got = {r.doc_id: (r.recognised, r.licenses, r.matches) for r in found.collect()}
+    gpl = whole[GPL_WRAPPED]
+    assert got == {
+        **dict(enumerate(whole.values())), 10: gpl, 11: gpl, 12: ("", "", 0), 13: ("", "", 0),
+        14: ("<mit-notice>", "MIT", 1),
+    }
+
+
+def test_long_gaps_are_read_once(spark):
+    """Of a text without words but one, no gap is read again from each of its places."""
+    docs = documents(spark, [(1, " -\n" * 300_000 + "x"), (2, "-" * 900_000), (3, "x" + " " * 900_000 + ":\ty")])
+    assert [r.licenses for r in scan_licenses(docs).collect()] == [""] * 3
+
+
 def test_licence_rules_are_ordered(spark):
     known = {"a": "one", "b": "two", "c": "three"}
     rules = [("AB", ("a", "b")), ("A", ("a",)), ("C", ("c",))]
