@@ -38,7 +38,7 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"), any_case=True)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,7 +22,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), any_case=True
+    )
     return found.drop("bindings")
 
 

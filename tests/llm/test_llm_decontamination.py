@@ -57,6 +57,30 @@ def test_reparameterised_questions(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, [4, 5, 6, 7, 8, 2]))
 
 
+MARIA = "Maria has 12 red marbles in a box. Maria gives 5 of them to Pedro. Maria then buys 8 more."
+
+
+def test_names_that_open_sentences(spark):
+    docs = documents(spark, [
+        (1, MARIA.replace("Maria", "Lucia").replace("12", "31")), (2, MARIA.replace("Maria", "Mary Ann")),
+        (3, "Nobody has seen the old red barn since. Then it rained for days and all the hay was lost."),
+    ])
+    got = {r.doc_id: r for r in contaminated(docs, items(spark, [MARIA])).collect()}
+    assert set(got) == {1, 2}
+    assert got[1].coverage == 1 and got[1].reparameterised
+    assert got[1].bindings["maria"] == "lucia" and got[1].bindings["12"] == "31"
+    assert got[2].coverage == 1 and got[2].bindings["maria"] == "mary ann"
+
+
+def test_copies_in_any_case(spark):
+    docs = documents(spark, [(1, ITEM.lower()), (2, f"so: {ITEM.upper()}"), (3, ITEM.title()), (4, OTHER.lower())])
+    got = {r.doc_id: r for r in contaminated(docs, items(spark, [ITEM]), any_case=True).collect()}
+    assert {1, 2, 3} <= set(got) and all(got[i].coverage == 1 for i in (1, 2, 3))
+    assert not any(got[i].reparameterised for i in (1, 2, 3))
+    back = contaminated(documents(spark, [(1, ITEM)]), items(spark, [ITEM.lower()]), any_case=True)
+    assert [r.coverage for r in back.collect()] == [1]
+
+
 def test_against_whole_passages(spark):
     """Every planted passage is found, and nothing else."""
     rng = random.Random(2)
