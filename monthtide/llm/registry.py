@@ -13,7 +13,9 @@ from monthtide.llm.frames import table
 from monthtide.llm.jaccard_join import jaccard_components
 from monthtide.llm.language_id import predicted_languages
 from monthtide.llm.license_scan import scan_licenses
+from monthtide.llm.merkle_manifest import manifest_audit
 from monthtide.llm.mixing import mixed_documents
+from monthtide.llm.spelling_variants import SLIP, spelling_variants
 from monthtide.llm.token_counts import length_histogram
 from monthtide.llm.url_filter import judged_urls
 from monthtide.llm.warc import derivatives, responses
@@ -75,6 +77,14 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest_audit(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"), slip=SLIP)
+
+
 def registered() -> dict[str, Query]:
     return {
         "op1_decontaminate": op1_decontaminate,
@@ -87,4 +97,6 @@ def registered() -> dict[str, Query]:
         "op8_language_id": op8_language_id,
         "op9_chat_format": op9_chat_format,
         "op10_exact_dedup": op10_exact_dedup,
+        "op12_merkle_manifest": op12_merkle_manifest,
+        "op13_spelling_variants": op13_spelling_variants,
     }
