@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from monthtide.llm.chat_format import chat_windows, read_back
 from monthtide.llm.decontamination import contaminated
 from monthtide.llm.exact_dedup import content_sort
+from monthtide.llm.fast_sketch import sketch_components
 from monthtide.llm.frames import table
 from monthtide.llm.jaccard_join import jaccard_components
 from monthtide.llm.language_id import predicted_languages
@@ -77,6 +78,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op11_fast_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch_components(table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest_audit(table(spark, sf_dir, "documents"))
 
@@ -97,6 +102,7 @@ def registered() -> dict[str, Query]:
         "op8_language_id": op8_language_id,
         "op9_chat_format": op9_chat_format,
         "op10_exact_dedup": op10_exact_dedup,
+        "op11_fast_sketch": op11_fast_sketch,
         "op12_merkle_manifest": op12_merkle_manifest,
         "op13_spelling_variants": op13_spelling_variants,
     }
