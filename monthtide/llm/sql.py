@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from monthtide.llm import url_filter
 from monthtide.llm.license_scan import RULES, SENTENCES
+from monthtide.llm.spelling_variants import MIN_COUNT, MIN_LETTERS, RATIO, RUN, SLIP
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -191,5 +192,175 @@ FROM j LEFT JOIN last ON j.host = last.host
 OP3 = _op3()
 
 
+OP11 = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '{WORD}') AS w FROM documents
+),
+s AS (
+  SELECT r, doc_id,
+         CASE WHEN len(w) < 2 THEN w
+              ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))
+         END AS shingles
+  FROM d
+),
+e AS MATERIALIZED (SELECT r, doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM s WHERE doc_id IS NOT NULL),
+links AS MATERIALIZED (
+  SELECT DISTINCT least(a.doc_id, b.doc_id) AS x, greatest(a.doc_id, b.doc_id) AS y
+  FROM e a JOIN e b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  GROUP BY a.r, b.r, a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+),
+two_way AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(x, y) AS (SELECT x, y FROM two_way UNION SELECT reach.x, two_way.y FROM reach JOIN two_way ON reach.y = two_way.x),
+c AS (SELECT x, min(y) AS least FROM reach GROUP BY x)
+SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles,
+       CASE WHEN doc_id IS NOT NULL THEN least(doc_id, coalesce(least, doc_id)) END AS component_id,
+       coalesce(doc_id = least(doc_id, coalesce(least, doc_id)), true) AS kept
+FROM s LEFT JOIN c ON s.doc_id = c.x
+"""
+
+
+def _crc32(text: str) -> str:
+    """The unsigned CRC-32 of a text's UTF-8, half a byte at a time."""
+    steps = []
+    for c in range(16):
+        for _ in range(4):
+            c = (c >> 1) ^ (0xEDB88320 if c & 1 else 0)
+        steps.append(c)
+    digits = f"hex(encode({text}))"
+    halves = (
+        f"list_transform(range(0, length({digits})), lambda i: CAST(instr('0123456789ABCDEF', "
+        f"substr({digits}, i + 2 - 2 * (i % 2), 1)) - 1 AS BIGINT))"
+    )
+    return (
+        f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {halves}), "
+        f"lambda c, h: xor((c >> 4), CAST(({steps})[(xor(c, h) & 15) + 1] AS BIGINT))), 4294967295)"
+    )
+
+
+def _framed(column: str) -> str:
+    return f"coalesce(strlen(CAST({column} AS VARCHAR)) || ':' || CAST({column} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_framed, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+
+def _risen(name: str, bottom: str) -> str:
+    """All nodes of the trees over ``bottom`` (grp, idx, width, digest)."""
+    return f"""
+{name}(grp, lvl, idx, width, digest) AS (
+  SELECT grp, 0, idx, width, digest FROM {bottom}
+  UNION ALL
+  SELECT grp, lvl + 1, idx // 3, any_value((width + 2) // 3), sha256(string_agg(digest, '' ORDER BY idx))
+  FROM {name} WHERE width > 1 GROUP BY grp, lvl, idx // 3
+),
+{name}_siblings AS (
+  SELECT n.grp, n.lvl, n.idx,
+         coalesce(string_agg(s.digest, '' ORDER BY s.idx) FILTER (s.idx < n.idx), '') AS before,
+         coalesce(string_agg(s.digest, '' ORDER BY s.idx) FILTER (s.idx > n.idx), '') AS after
+  FROM {name} n JOIN {name} s ON n.grp = s.grp AND n.lvl = s.lvl AND n.idx // 3 = s.idx // 3
+  WHERE n.width > 1 GROUP BY ALL
+)"""
+
+
+def _walked(name: str, start: str, tree: str) -> str:
+    """Each row of ``start`` (r, grp, idx, proof, folded) led up its tree."""
+    return f"""
+{name}(r, grp, lvl, idx, proof, folded) AS (
+  SELECT r, grp, 0, idx, proof, folded FROM {start}
+  UNION ALL
+  SELECT r, grp, lvl + 1, idx // 3, proof || before || after, sha256(before || folded || after)
+  FROM {name} JOIN {tree}_siblings USING (grp, lvl, idx)
+),
+{name}_end AS (SELECT r, max_by(proof, lvl) AS proof, max_by(folded, lvl) AS folded FROM {name} GROUP BY r)"""
+
+
+OP12 = f"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, coalesce('=' || source, '') AS grp, {_leaf("text")} AS leaf,
+         CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 2 = 0
+              THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf("text")} END AS claimed
+  FROM documents
+),
+leaves AS MATERIALIZED (
+  SELECT *, leaf AS digest, count(*) OVER (PARTITION BY grp) AS width,
+         row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS idx
+  FROM d
+),{_risen("lower_tree", "leaves")},
+tops AS MATERIALIZED (
+  SELECT '' AS grp, grp AS own, digest, count(*) OVER () AS width,
+         row_number() OVER (ORDER BY encode(grp)) - 1 AS idx
+  FROM lower_tree WHERE width = 1
+),{_risen("upper_tree", "tops")},
+inner_start AS (SELECT r, grp, idx, '' AS proof, claimed AS folded FROM leaves),{_walked("inner_walk", "inner_start", "lower_tree")},
+outer_start AS (
+  SELECT r, tops.grp, tops.idx, proof, folded
+  FROM inner_walk_end JOIN leaves USING (r) JOIN tops ON leaves.grp = tops.own
+),{_walked("outer_walk", "outer_start", "upper_tree")},
+top AS (SELECT digest AS root FROM upper_tree WHERE width = 1)
+SELECT doc_id, leaf, tops.digest AS subroot, root, sha256(proof) AS proof_sha256,
+       folded AS folded_root, folded = root AS verified
+FROM leaves JOIN tops ON leaves.grp = tops.own JOIN outer_walk_end USING (r) CROSS JOIN top
+"""
+
+
+OP13 = f"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc,
+         unnest(regexp_extract_all({_LOWER}, '{RUN}')) AS run
+  FROM documents
+),
+kinds AS MATERIALIZED (SELECT doc, run, count(*) AS times FROM runs GROUP BY doc, run),
+h AS (SELECT *, {_crc32("doc || ':' || run")} AS h FROM kinds),
+words AS MATERIALIZED (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n
+  FROM (
+    SELECT times, CASE WHEN h % {SLIP} = 0
+                       THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+                       ELSE run END AS word
+    FROM h
+  )
+  WHERE length(word) >= {MIN_LETTERS} GROUP BY word HAVING sum(times) >= {MIN_COUNT}
+),
+rests AS MATERIALIZED (
+  SELECT word, n, 0 AS place, word AS rest FROM words
+  UNION ALL
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1)
+  FROM words, unnest(range(1, length(word) + 1)) AS u(i)
+),
+near AS MATERIALIZED (
+  SELECT DISTINCT a.word, b.word AS other, b.n
+  FROM rests a JOIN rests b ON a.rest = b.rest AND a.word <> b.word
+  WHERE a.place = b.place OR a.place = 0 OR b.place = 0
+),
+formed AS MATERIALIZED (
+  SELECT words.word, words.n, CAST(count(other) AS BIGINT) AS n_near,
+         min_by(other, (-near.n, encode(other))) AS best, max(near.n) AS best_n
+  FROM words LEFT JOIN near USING (word) GROUP BY words.word, words.n
+),
+f AS MATERIALIZED (
+  SELECT word, n, n_near, CASE WHEN best_n >= {RATIO} * n THEN best END AS form,
+         CASE WHEN best_n >= {RATIO} * n THEN best_n END AS form_n
+  FROM formed
+),
+ways(word, place, hops) AS (
+  SELECT word, word, 0 FROM f
+  UNION ALL
+  SELECT ways.word, f.form, hops + 1 FROM ways JOIN f ON ways.place = f.word WHERE f.form IS NOT NULL
+),
+roots AS (SELECT word, max_by(place, hops) AS root FROM ways GROUP BY word)
+SELECT word, n, n_near, form, form_n, root FROM f JOIN roots USING (word)
+"""
+
+
 def sql() -> dict[str, str]:
-    return {"op3_url_filter": OP3, "op6_license_scan": OP6, "op9_chat_format": OP9, "op10_exact_dedup": OP10}
+    return {
+        "op3_url_filter": OP3,
+        "op6_license_scan": OP6,
+        "op9_chat_format": OP9,
+        "op10_exact_dedup": OP10,
+        "op11_fast_sketch": OP11,
+        "op12_merkle_manifest": OP12,
+        "op13_spelling_variants": OP13,
+    }

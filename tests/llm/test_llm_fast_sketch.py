@@ -1,0 +1,127 @@
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from llm_data import ascii_lower, documents, sentence, words
+
+from monthtide.llm.fast_sketch import EMPTY, Nearness, keep_first_of_kind, sketch_components, sketches
+from monthtide.llm.words import mix
+
+
+def shingles(text):
+    w = words(ascii_lower(text or ""))
+    k = min(2, len(w))
+    return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if w else set()
+
+
+def brute(rows):
+    sets = defaultdict(list)
+    for i, text in rows:
+        if i is not None:
+            sets[i].append(shingles(text))
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            if a < b and any(
+                x and y and 100 * len(x & y) >= 80 * len(x | y) for x in sets[a] for y in sets[b]
+            ):
+                p, q = find(a), find(b)
+                root[max(p, q)] = min(p, q)
+    return Counter(
+        (i, len(shingles(t)), None if i is None else find(i), i is None or find(i) == i) for i, t in rows
+    )
+
+
+def families(rng, n):
+    """Near copies of all degrees, texts that share a passage, a chain, a hot group, short texts."""
+    rows = []
+    passage = sentence(rng, 60)
+    for _ in range(n):
+        base = sentence(rng, rng.choice([3, 8, 20, 80, 200])).split()
+        for _ in range(rng.randrange(1, 7)):
+            text = list(base)
+            for _ in range(rng.randrange(0, 5)):
+                text[rng.randrange(len(text))] = f"e{rng.randrange(999)}"
+            rows.append(" ".join(text))
+        rows.append(f"{sentence(rng, rng.choice([3, 15, 60]))} {passage}")
+    chain = sentence(rng, 120).split()
+    for i in range(12):
+        chain[i * 9] = f"c{i}"
+        rows.append(" ".join(chain))
+    base = sentence(rng, 100).split()
+    for _ in range(100):
+        text = list(base)
+        for _ in range(rng.randrange(0, 9)):
+            text[rng.randrange(100)] = f"e{rng.randrange(9999)}"
+        rows.append(" ".join(text))
+    rows += [" ".join(base)] * 30
+    rows += ["a b", "A  b", "b a", "a", "A", "", None, " \n", sentence(rng, 9000)]
+    rows.append(rows[-1] + " more words")
+    rng.shuffle(rows)
+    return list(enumerate(rows, 3))
+
+
+@pytest.mark.parametrize("seed, crowd", [(1, 128), (2, 2)])
+def test_against_all_pairs(spark, seed, crowd):
+    """With a crowd of 2, nearly all bands go the exact way of prefixes."""
+    rows = families(random.Random(seed), 30)
+    rows += [(None, rows[0][1]), (None, None), (rows[5][0], rows[5][1]), (7, "seven has two texts here"), (8, ""), (8, None)]
+    got = sketch_components(documents(spark, rows), crowd=crowd).collect()
+    assert Counter(map(tuple, got)) == brute(rows)
+
+
+def test_one_document_of_each_group_stays(spark):
+    rows = families(random.Random(4), 5) + [(None, "no identifier at all here")]
+    docs = documents(spark, rows)
+    got = keep_first_of_kind(docs)
+    assert got.columns == docs.columns
+    assert {r.doc_id for r in got.collect()} == {c for (_, _, c, _) in brute(rows)}
+
+
+def test_empty_table_and_blank_texts(spark):
+    docs = documents(spark, [(1, "a")]).where("false")
+    assert sketch_components(docs).count() == 0 and keep_first_of_kind(docs).count() == 0
+    got = sketch_components(documents(spark, [(1, None), (2, ""), (3, " ")])).collect()
+    assert sorted(map(tuple, got)) == [(i, 0, i, True) for i in (1, 2, 3)]
+
+
+def test_very_long_text(spark):
+    text = "word " * 200_000 + sentence(random.Random(1), 100_000)
+    rows = [(5, text), (2, text + " tail"), (1, "short")]
+    got = {r.doc_id: r.component_id for r in sketch_components(documents(spark, rows)).collect()}
+    assert got == {5: 2, 2: 2, 1: 1}
+
+
+def test_every_coordinate_fills():
+    rng = np.random.default_rng(1)
+    sets = [mix(rng.integers(1, 1 << 62, n).astype(np.uint64)) for n in (1, 2, 5, 100, 5000)]
+    drawn = sketches([np.zeros(0, np.uint64), *sets], 288)
+    assert (drawn[0] == EMPTY).all() and (drawn[1:] != EMPTY).all()
+    # as one by one
+    for x, row in zip(sets, drawn[1:]):
+        assert (sketches([x], 288)[0] == row).all()
+
+
+@pytest.mark.parametrize("n", [5, 50, 1000])
+def test_agreement_is_the_similarity(n):
+    rng = np.random.default_rng(n)
+    errors = []
+    for _ in range(60):
+        union = mix(rng.integers(1, 1 << 62, n).astype(np.uint64))
+        out = n // 10 or 1
+        a, b = sketches([union[out:], union[: n - out or 1]], 288)
+        same = (n - 2 * out) / n
+        errors.append((a == b).mean() - same)
+    assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 1.2 * (0.25 / 288) ** 0.5
+
+
+def test_chance_to_miss():
+    nearness = Nearness()
+    assert (1 - 0.8**nearness.rows) ** nearness.bands < 5e-7

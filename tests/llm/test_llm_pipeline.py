@@ -12,7 +12,7 @@ def test_stages():
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "language ID", "exact dedup", "n-gram Jaccard join", "benchmark decontamination", "mixing sources",
     ]
-    assert {name.split("_")[0] for name in registry.registered()} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in registry.registered()} == {f"op{n}" for n in range(1, 14)}
     assert set(sql.sql()) <= set(registry.registered())
 
 
