@@ -10,7 +10,8 @@ group's subroot. The subroots, ordered by group, become the root in the same way
 2. At each level a node meets its siblings by equijoins on computed places: the place with its
    last bit flipped for binary trees, else the place of each other slot of the run. Rows of
    slot zero then emit the parents. All groups rise together; a group whose subroot is found
-   drops out. A level is written as a table before the next reads it.
+   drops out. A level is written as a table before the next reads it; the small ones at the
+   top, up to a fixed number of nodes, are one task each.
 3. Proofs come down the same way: a node joins the siblings of its parent's way to the root.
    Each parent has at most ``arity`` children, so no key of any join is hot.
 
@@ -40,6 +41,8 @@ from monthtide.operators.features import rank_rows
 from monthtide.shared import Workspace
 
 ARITY = 3
+#: Levels of so many nodes at most are joined in one task, without a shuffle.
+SMALL = 20_000
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
@@ -121,7 +124,8 @@ def build_manifest(
         )
     )
     numbered = work.settle(rank_rows(groups, [F.asc("group")], "number", work))
-    n_groups, widest = numbered.agg(F.count(F.lit(1)), F.max("width")).first()
+    sizes = numbered.agg(F.count(F.lit(1)), F.max("width"), F.sum("width"))
+    n_groups, widest, n_rows = sizes.first()
     taken = ["of.id", *[f"of.{name}" for name in carry]]
     if not n_groups:
         empty = leaves.select(
@@ -132,7 +136,7 @@ def build_manifest(
     bottom = placed.join(numbered, "group").select(
         "number", (F.col("position") - F.col("start")).alias("index"), "width", "digest", "of"
     )
-    levels, tops = _rise(work, bottom, widest, arity)
+    levels, tops = _rise(work, bottom, widest, arity, n_rows, n_groups)
     crown = tops.select(
         F.lit(0).cast("long").alias("number"),
         F.col("number").alias("index"),
@@ -140,7 +144,7 @@ def build_manifest(
         F.col("digest"),
         F.struct("number", "level", "digest").alias("of"),
     )
-    upper, top = _rise(work, crown, n_groups, arity)
+    upper, top = _rise(work, crown, n_groups, arity, n_groups, 1)
     root = top.select(_hex(F.col("digest"))).first()[0]
     above = top.select("number", "level", F.col("digest").alias("subroot"), _empty_path().alias("path"))
     crowned = _descend(work, upper, above, arity)
@@ -157,24 +161,35 @@ def build_manifest(
     )
 
 
+@dataclass(frozen=True)
+class _Level:
+    frame: DataFrame
+    small: bool
+
+
 def _empty_path() -> Column:
     return F.array().cast("array<struct<left: binary, right: binary>>")
 
 
 def _rise(
-    work: Workspace, bottom: DataFrame, widest: int, arity: int
-) -> tuple[list[DataFrame], DataFrame]:
+    work: Workspace, bottom: DataFrame, widest: int, arity: int, rows: int, trees: int
+) -> tuple[list[_Level], DataFrame]:
     """The levels of all trees, lowest first, and each tree's top: number, level, digest.
 
     ``bottom`` has number (of the tree), index, width (of the tree's level), digest, of. A level
-    adds ``left`` and ``right``, the siblings' digests; lone nodes have none.
+    adds ``left`` and ``right``, the siblings' digests; lone nodes have none. Small levels have
+    a single partition.
     """
     nodes, levels = bottom, []
     while True:
+        small = rows <= SMALL
+        nodes = nodes.coalesce(1) if small else nodes
         level = work.settle(_with_siblings(nodes, arity) if widest > 1 else _alone(nodes))
-        levels.append(level)
+        level = level.coalesce(1) if small else level
+        levels.append(_Level(level, small))
         if widest <= 1:
             break
+        rows = rows // arity + trees
         nodes = level.where((F.col("width") > 1) & (F.col("index") % arity == 0)).select(
             "number",
             F.expr(f"index div {arity}").alias("index"),
@@ -183,7 +198,7 @@ def _rise(
         )
         widest = -(-widest // arity)
     tops = [
-        x.where("width = 1").select("number", F.lit(k).alias("level"), "digest")
+        x.frame.where("width = 1").select("number", F.lit(k).alias("level"), "digest")
         for k, x in enumerate(levels)
     ]
     return levels, work.settle(reduce(DataFrame.union, tops))
@@ -221,17 +236,16 @@ def _with_siblings(nodes: DataFrame, arity: int) -> DataFrame:
     return met
 
 
-def _descend(work: Workspace, levels: list[DataFrame], tops: DataFrame, arity: int) -> DataFrame:
+def _descend(work: Workspace, levels: list[_Level], tops: DataFrame, arity: int) -> DataFrame:
     """The lowest level's nodes with subroot and path.
 
     ``tops`` has number, level, subroot, path: what leads on from each tree's top.
     """
     above = None
     for k in reversed(range(len(levels))):
-        level = levels[k]
-        ends = level.where("width = 1").join(
-            tops.where(F.col("level") == k).select("number", "subroot", "path"), "number"
-        )
+        level, small = levels[k].frame, levels[k].small
+        ended = tops.where(F.col("level") == k).select("number", "subroot", "path")
+        ends = level.where("width = 1").join(ended.coalesce(1) if small else ended, "number")
         here = ends.select(*level.columns, "subroot", "path")
         if above is not None:
             parents = above.select(
@@ -247,6 +261,7 @@ def _descend(work: Workspace, levels: list[DataFrame], tops: DataFrame, arity: i
         if not k:
             return here
         above = work.settle(here.select("number", "index", "subroot", "path"))
+        above = above.coalesce(1) if small else above
     raise ValueError("a tree has at least one level")
 
 
