@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -17,6 +18,16 @@ from pyspark.sql import functions as F
 from monthtide.operators.features import bin_count
 from monthtide.operators.metrics import rmse
 from monthtide.operators.models import COLUMNS, tree_estimator
+from monthtide.operators.moments import (
+    ElasticNet,
+    LinearFit,
+    Moments,
+    feature_columns,
+    fold_moments,
+    outside,
+)
+from monthtide.operators.nested import NestedTree, score_cuts
+from monthtide.operators.poisson import fit_poisson
 
 # Folds and the swept parameters.
 FOLDS = 3
@@ -26,15 +37,23 @@ GLR_FAMILIES = ("gaussian", "poisson")
 # Fits that run at the same time.
 PARALLELISM = 9
 
+# The nodes of trees up to this depth are read on the driver.
+NESTED_DEPTH = 12
+
 
 @dataclass
 class Tuned:
-    model: Model
-    best: dict[Param, object]
-    grid: list[dict[Param, object]]
+    model: Model | NestedTree | LinearFit
+    best: dict[Param, object] | ElasticNet
+    grid: list[dict[Param, object]] | list[ElasticNet]
     rmse: list[float]
 
 
+def least(means: list[float]) -> int:
+    """The place of the least mean, the first on a tie, NaN never."""
+    return min(range(len(means)), key=lambda i: (math.isnan(means[i]), means[i]))
+
+
 def add_fold(df: DataFrame, folds: int = FOLDS) -> DataFrame:
     """Fold of each row, from its month number and category only.
 
@@ -86,17 +105,20 @@ def cross_validate(
         by_fold = [(k, fitted[k * len(grid) : (k + 1) * len(grid)]) for k in range(folds)]
         scores = list(pool.map(inheritable_thread_target(spark)(score), by_fold))
     means = [sum(s[i] for s in scores) / folds for i in range(len(grid))]
-    best = grid[min(range(len(grid)), key=lambda i: (math.isnan(means[i]), means[i]))]
+    best = grid[least(means)]
     return Tuned(estimator.fit(data, best), best, grid, means)
 
 
 def check_folds(data: DataFrame, folds: int, min_training_rows: int) -> None:
     in_fold = [F.count(F.when(F.col("fold") == k, 1)).alias(f"fold_{k}") for k in range(folds)]
-    counts = data.agg(*in_fold).first()
+    check_fold_sizes(data.agg(*in_fold).first(), folds, min_training_rows)
+
+
+def check_fold_sizes(counts: Sequence[float], folds: int, min_training_rows: int) -> None:
     fewest = sum(counts) - max(counts)
     if fewest < min_training_rows:
         raise ValueError(
-            f"a fold has {fewest} training rows, too few for a model that needs "
+            f"a fold has {fewest:.0f} training rows, too few for a model that needs "
             f"{min_training_rows}"
         )
     if min(counts) == 0:
@@ -112,7 +134,9 @@ def tune_tree(
 ) -> Tuned:
     """Decision tree, its depth chosen by cross-validation.
 
-    A tree has at most as many bins as training rows, and needs one per category.
+    A tree has at most as many bins as training rows, and needs one per category. One tree of
+    the greatest depth is fitted without each fold and one on all rows, all at the same time;
+    what the trees of the other depths predict is read off them.
     """
     estimator = tree_estimator()
     grid = (
@@ -121,9 +145,30 @@ def tune_tree(
         .addGrid(estimator.maxDepth, list(depths))
         .build()
     )
-    return cross_validate(
-        estimator, grid, data, parallelism=parallelism, min_training_rows=n_categories
-    )
+    if max(depths) > NESTED_DEPTH:
+        return cross_validate(
+            estimator, grid, data, parallelism=parallelism, min_training_rows=n_categories
+        )
+    folds = range(FOLDS)
+    deepest = grid[max(range(len(depths)), key=lambda i: depths[i])]
+
+    def fit(fold: int) -> NestedTree:
+        rows = data if fold == FOLDS else data.where(F.col("fold") != fold)
+        return NestedTree.of(estimator.fit(rows, deepest))
+
+    def score(fold: int) -> list[float]:
+        scored = score_cuts(trees[fold], data.where(F.col("fold") == fold), depths)
+        errors = [rmse(F.col("n"), F.col(f"prediction_{i}")) for i in range(len(depths))]
+        return list(scored.agg(*errors).first())
+
+    check_folds(data, FOLDS, n_categories)
+    spark = data.sparkSession
+    with ThreadPoolExecutor(min(parallelism, FOLDS + 1)) as pool:
+        trees = list(pool.map(inheritable_thread_target(spark)(fit), [*folds, FOLDS]))
+        scores = list(pool.map(inheritable_thread_target(spark)(score), folds))
+    means = [sum(s[i] for s in scores) / FOLDS for i in range(len(depths))]
+    best = least(means)
+    return Tuned(trees[FOLDS].cut(depths[best]), grid[best], grid, means)
 
 
 def tune_generalized_linear(
@@ -131,7 +176,47 @@ def tune_generalized_linear(
     families: tuple[str, ...] = GLR_FAMILIES,
     parallelism: int = PARALLELISM,
 ) -> Tuned:
-    """Generalized linear regression, its family chosen by cross-validation."""
+    """Generalized linear regression, its family chosen by cross-validation.
+
+    The gaussian fits and errors follow from the moments of each fold, one scan for all. The
+    Poisson fits of all folds and of all rows share each of their steps' scans.
+    """
     estimator = GeneralizedLinearRegression(**COLUMNS)
     grid = ParamGridBuilder().addGrid(estimator.family, list(families)).build()
-    return cross_validate(estimator, grid, data, parallelism=parallelism)
+    if not set(families) <= set(GLR_FAMILIES):
+        return cross_validate(estimator, grid, data, parallelism=parallelism)
+    parts, sets = training_moments(data)
+    fits: dict[str, list[LinearFit]] = {}
+    scores: dict[str, list[float]] = {}
+    if "gaussian" in families:
+        fits["gaussian"] = [ElasticNet().solve(m) for m in sets]
+        scores["gaussian"] = [p.rmse(f) for p, f in zip(parts, fits["gaussian"])]
+    if "poisson" in families:
+        members = [F.col("fold") != k for k in range(FOLDS)] + [F.lit(True)]
+        fits["poisson"] = fit_poisson(data, members, sets)
+        names = [F.col(c) for c in feature_columns(data)]
+        errors = [
+            rmse(F.when(F.col("fold") == k, F.col("n")), fits["poisson"][k].value(*names))
+            for k in range(FOLDS)
+        ]
+        scores["poisson"] = list(data.agg(*errors).first())
+    means = [sum(scores[family]) / FOLDS for family in families]
+    best = least(means)
+    return Tuned(fits[families[best]][FOLDS], grid[best], grid, means)
+
+
+def tune_linear(data: DataFrame, grid: Sequence[ElasticNet]) -> Tuned:
+    """Linear regression, its penalties chosen by cross-validation, from one scan."""
+    parts, sets = training_moments(data)
+    means = [
+        sum(p.rmse(net.solve(m)) for p, m in zip(parts, sets)) / FOLDS for net in grid
+    ]
+    best = grid[least(means)]
+    return Tuned(best.solve(sets[FOLDS]), best, list(grid), means)
+
+
+def training_moments(data: DataFrame) -> tuple[list[Moments], list[Moments]]:
+    """The moments of each fold; and of the rows outside each, then of all rows."""
+    parts = fold_moments(data, FOLDS)
+    check_fold_sizes([p.rows for p in parts], FOLDS, 1)
+    return parts, [outside(parts, k) for k in range(FOLDS + 1)]

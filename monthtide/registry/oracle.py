@@ -249,6 +249,72 @@ FROM (SELECT max(month) AS last_month, max(id) AS last_id FROM series),
      generate_series(1, {horizon}) AS g(step), {starts}, chosen"""
 
 
+PENALTIES = ("0.0", "0.01", "1.0", "100.0")
+
+
+def linear_recursive_sql(series: str, by: str, horizon: int, penalty: str) -> str:
+    """Step k fits a plane to the history and to what step k - 1 predicted."""
+    steps = []
+    for k in range(1, horizon + 1):
+        fed = "" if k == 1 else f" UNION ALL SELECT id, category_idx, p FROM p{k - 1}"
+        steps.append(f"""
+p{k} AS MATERIALIZED (
+  WITH train AS (
+    SELECT CAST(id AS DOUBLE) AS id, category_idx, CAST(n AS DOUBLE) AS n FROM series{fed}),
+  {ridge_two_features(penalty)}
+  SELECT CAST(last_month + to_months({k}) AS DATE) AS month, category, category_idx,
+         CAST(last_id + {k} AS DOUBLE) AS id,
+         intercept + coef_id * (last_id + {k}) + coef_category * category_idx AS p
+  FROM (SELECT max(month) AS last_month, max(id) AS last_id FROM series),
+       (SELECT DISTINCT category, category_idx FROM series), fit)""")
+    parts = "\nUNION ALL\n".join(
+        f'SELECT month AS "Date", category AS {by}, round(p, 0) AS prediction FROM p{k}'
+        for k in range(1, horizon + 1)
+    )
+    return f"WITH {series},{','.join(steps)}\n{parts}"
+
+
+def penalty_choice_sql(series: str, two_features: bool) -> str:
+    """Each penalty's error over the folds; the lasso for one feature only."""
+    kinds = ("0.0",) if two_features else ("0.0", "1.0")
+    grid = ", ".join(
+        f"({i}, {p}::DOUBLE, {kind}::DOUBLE)"
+        for i, (p, kind) in enumerate((p, kind) for p in PENALTIES for kind in kinds)
+    )
+    x2 = "category_idx" if two_features else "0.0"
+    if two_features:
+        slopes = """
+         (a * r1 - r12 * r2) / (a * a - r12 * r12) * sy / s1 AS b1,
+         (a * r2 - r12 * r1) / (a * a - r12 * r12) * sy / s2 AS b2"""
+    else:
+        slopes = """
+         CASE elastic_net WHEN 0 THEN r1 * sy / s1 / a
+           ELSE sign(r1) * greatest(abs(r1) - (a - 1), 0) * sy / s1 END AS b1, 0.0 AS b2"""
+    return f"""WITH {series},
+grid(place, reg_param, elastic_net) AS (VALUES {grid}),
+keyed AS (
+  SELECT n, CAST(id AS DOUBLE) AS x1, {x2} AS x2, CAST(id + {x2} AS BIGINT) % 3 AS fold
+  FROM series),
+moments AS (
+  SELECT k, corr(x1, n) AS r1, corr(x2, n) AS r2, corr(x1, x2) AS r12,
+         stddev_pop(x1) AS s1, stddev_pop(x2) AS s2, stddev_pop(n) AS sy,
+         avg(x1) AS m1, avg(x2) AS m2, avg(n) AS my
+  FROM keyed, generate_series(0, 2) AS g(k) WHERE fold <> k GROUP BY k),
+fits AS (
+  SELECT k, place, m1, m2, my,{slopes}
+  FROM (SELECT *, 1 + reg_param / sy AS a FROM moments, grid)),
+errors AS (
+  SELECT place, fold, n - (my + b1 * (x1 - m1) + b2 * (x2 - m2)) AS e
+  FROM keyed JOIN fits ON k = fold),
+scores AS (
+  SELECT place, avg(rmse) AS rmse
+  FROM (SELECT place, fold, sqrt(avg(e * e)) AS rmse FROM errors GROUP BY place, fold)
+  GROUP BY place)
+SELECT reg_param, elastic_net, round(rmse, 6) AS rmse,
+       row_number() OVER (ORDER BY round(rmse, 9), place) = 1 AS chosen
+FROM scores JOIN grid USING (place)"""
+
+
 def poisson_sql(role: str | None) -> str:
     series = overall_ctes() if role is None else category_ctes(role)
     x2 = "0.0" if role is None else "category_idx"
@@ -455,6 +521,14 @@ FROM series, fit WHERE month > {TEST_AFTER}""",
         "cv_model_choice": f"""WITH RECURSIVE {overall},
 {glr_choice_ctes(False)}
 SELECT family, round(rmse, 6) AS rmse, family = (SELECT family FROM best) AS chosen FROM scores""",
+        "ols_recursive_by_supplier": linear_recursive_sql(
+            category_ctes("supplier"), "l_suppkey", 6, "0.0"
+        ),
+        "ridge_recursive_by_priority": linear_recursive_sql(
+            category_ctes("priority"), "o_orderpriority", 12, "100.0"
+        ),
+        "cv_penalty_choice": penalty_choice_sql(overall, False),
+        "cv_penalty_choice_by_supplier": penalty_choice_sql(category_ctes("supplier"), True),
         "ols_forecast_overall": forecast,
         "glr_forecast_overall": glr_forecast_sql(None, 3),
         "glr_forecast_by_category": glr_forecast_sql("priority", 3),

@@ -32,6 +32,7 @@ from monthtide.operators.features import (
 )
 from monthtide.operators.future import feedback_union, future_frame
 from monthtide.operators.metrics import mae, metrics_frame, r2, rmse
+from monthtide.operators.moments import ElasticNet
 from monthtide.operators.series import (
     bounds_frame,
     holdout,
@@ -39,7 +40,7 @@ from monthtide.operators.series import (
     number_months,
     series_bounds,
 )
-from monthtide.operators.tuning import tune_generalized_linear, tune_tree
+from monthtide.operators.tuning import tune_generalized_linear, tune_linear, tune_tree
 from monthtide.plans.direct import forecast_direct
 from monthtide.plans.finish import forecast_lines, preview
 from monthtide.plans.job import run_forecast_job
@@ -60,6 +61,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 HORIZON = 3
 TEST_AFTER = dt.date(2000, 4, 2)
 TRAIN_BEFORE = dt.date(2000, 6, 2)
+RIDGE_PENALTIES = (0.0, 0.01, 1.0, 100.0)
 
 # category role -> table, date column, category column
 ROLES = {
@@ -651,6 +653,31 @@ def cv_model_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "family string, rmse double, chosen boolean")
 
 
+def linear_choice(series: MonthlySeries, grid: list[ElasticNet]) -> DataFrame:
+    tuned = tune_linear(series.frame, grid)
+    rows = [
+        (net.reg_param, net.elastic_net, round(score, 6), net == tuned.best)
+        for net, score in zip(tuned.grid, tuned.rmse)
+    ]
+    spark = series.frame.sparkSession
+    return spark.createDataFrame(
+        rows, "reg_param double, elastic_net double, rmse double, chosen boolean"
+    )
+
+
+@query("cv_penalty_choice")
+def cv_penalty_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cross-validated RMSE of plain, ridge and lasso fits."""
+    grid = [ElasticNet(p, kind) for p in RIDGE_PENALTIES for kind in (0.0, 1.0)]
+    return linear_choice(overall_series(spark, sf_dir), grid)
+
+
+@query("cv_penalty_choice_by_supplier")
+def cv_penalty_choice_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grid = [ElasticNet(p) for p in RIDGE_PENALTIES]
+    return linear_choice(category_series(spark, sf_dir, "supplier"), grid)
+
+
 @query("cv_depth_choice")
 def cv_depth_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cross-validated RMSE of each tree depth."""
@@ -710,7 +737,19 @@ def tree_forecast_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("ols_recursive_overall")
 def ols_recursive_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return forecast_recursive(overall_series(spark, sf_dir), HORIZON, fit=models.linear)
+    return forecast_recursive(overall_series(spark, sf_dir), HORIZON, fit=ElasticNet())
+
+
+@query("ols_recursive_by_supplier")
+def ols_recursive_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forecast_recursive(category_series(spark, sf_dir, "supplier"), 6, fit=ElasticNet())
+
+
+@query("ridge_recursive_by_priority")
+def ridge_recursive_by_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A penalty that counts: the last coefficient is a tenth of the plain one's and less."""
+    series = category_series(spark, sf_dir, "priority")
+    return forecast_recursive(series, 12, fit=ElasticNet(RIDGE_PENALTIES[-1]))
 
 
 def orders_csv_job(
