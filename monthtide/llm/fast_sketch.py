@@ -19,7 +19,9 @@ more closely than with independent minima.
 4. Where a band still joins several parts, all pairs across parts are compared, if it has no
    more than ``CROWD`` classes. Larger bands come from passages that many documents share.
    Their classes go the exact way of prefixes instead: shingles are ordered with the frequent
-   ones last, and two sets that are similar enough share one of their first ``n - least + 1``.
+   ones last, and two sets that are similar enough share one of their first ``n - least + 1``,
+   so early in both that what follows is enough for the overlap they need. A long passage in
+   common, which comes last, joins no others.
 
 Every link is confirmed on full sets, of 64-bit hashes of the shingles.
 
@@ -47,7 +49,7 @@ from monthtide.llm.frames import batches_of, seal, settle
 from monthtide.llm.words import mix, slices, split, window_hashes, word_hashes
 
 #: Classes of a band that are paired with each other; above it goes the exact way.
-CROWD = 128
+CROWD = 8
 #: A class with more than this share of the rows is told to all tasks: 1,000 at most.
 HOT_SHARE = 0.001
 #: Bits of the filter that tells whose sets are needed: an eighth in bytes.
@@ -79,6 +81,10 @@ class Nearness:
     def sizes_fit(self, m: Column, n: Column) -> Column:
         return 100 * F.least(m, n) >= self.percent * F.greatest(m, n)
 
+    def overlap_fits(self, most: Column, m: Column, n: Column) -> Column:
+        """Are ``most`` common shingles enough for sets of m and n?"""
+        return (100 + self.percent) * most >= self.percent * (m + n)
+
 
 def sketches(sets: list[np.ndarray], bins: int) -> np.ndarray:
     """A row of ``bins`` coordinates for each set; those of an empty set stay ``EMPTY``."""
@@ -203,9 +209,13 @@ def _links(classes: DataFrame, texts: DataFrame, nearness: Nearness, crowd: int)
 
 
 def _met(keyed: DataFrame) -> DataFrame:
-    """key, rep, n, size, first, first_n: the rows whose key several documents have."""
+    """The rows whose key several documents have, with size, first, first_n of the key.
+
+    What is known of the keys is written first, so that Spark knows its size when it chooses
+    how to join.
+    """
     keyed = settle(keyed)
-    shared = (
+    shared = settle(
         keyed.groupBy("key")
         .agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("rep", "n")).alias("first"),
              F.max("rep").alias("last"))
@@ -219,13 +229,13 @@ def _in_parts(met: DataFrame, parts: DataFrame) -> DataFrame:
     """The rows whose key joins several parts, with their part."""
     named = parts.select(F.col("node").alias("rep"), F.col("component").alias("part"))
     rows = settle(met.join(named, "rep", "left").withColumn("part", F.coalesce("part", "rep")))
-    several = (
+    several = settle(
         rows.groupBy("key")
         .agg(F.min("part").alias("low"), F.max("part").alias("high"))
         .where("low <> high")
-        .select("key", F.col("low").alias("first_part"))
+        .select("key")
     )
-    return settle(rows.drop("first_part").join(several, "key"))
+    return settle(rows.join(several, "key"))
 
 
 def _with_first(met: DataFrame, nearness: Nearness) -> DataFrame:
@@ -236,12 +246,29 @@ def _with_first(met: DataFrame, nearness: Nearness) -> DataFrame:
 
 
 def _across(apart: DataFrame, nearness: Nearness) -> DataFrame:
-    """a, b: the pairs of a key whose parts differ; those with its first are known already."""
+    """a, b: the pairs of a key whose parts differ; those with its first are known already.
+
+    Keys that are shingles have ``at``, their place in the order. Of the first one that two sets
+    share, all others they share come later in both.
+    """
     rows = apart.where("rep <> first")
-    one = rows.select("key", F.col("rep").alias("a"), F.col("n").alias("m"), F.col("part").alias("of_a"))
-    two = rows.select(F.col("key").alias("other"), F.col("rep").alias("b"), "n", "part")
-    fits = (F.col("of_a") < F.col("part")) & nearness.sizes_fit(F.col("m"), F.col("n"))
-    return one.join(two, (F.col("key") == F.col("other")) & fits).select("a", "b").distinct()
+    at = F.col("at") if "at" in apart.columns else F.lit(0)
+    one = rows.select(
+        "key", F.col("rep").alias("a"), F.col("n").alias("m"), F.col("part").alias("of_a"),
+        at.alias("at_a"),
+    )
+    two = rows.select(
+        F.col("key").alias("other"), F.col("rep").alias("b"), "n", "part", at.alias("at_b")
+    )
+    m, n = F.col("m"), F.col("n")
+    left = F.least(m - F.col("at_a"), n - F.col("at_b"))
+    fits = (
+        (F.col("key") == F.col("other"))
+        & (F.col("of_a") < F.col("part"))
+        & nearness.sizes_fit(m, n)
+        & nearness.overlap_fits(left, m, n)
+    )
+    return one.join(two, fits).select("a", "b").distinct()
 
 
 def _sets(texts: DataFrame, met: DataFrame, nearness: Nearness) -> DataFrame:
@@ -285,7 +312,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, nearness: Nearness) -> DataFram
 
 
 def _prefixes(crowded: DataFrame, sets: DataFrame, nearness: Nearness) -> DataFrame:
-    """key, rep, n: of each set, the shingles of which any partner has one among its own."""
+    """key, rep, n, at: of each set, the shingles of which any partner has one among its own."""
     own = settle(sets.join(crowded, sets["doc"] == crowded["rep"]).select("rep", "set"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,21 +336,21 @@ def _prefixes(crowded: DataFrame, sets: DataFrame, nearness: Nearness) -> DataFr
         levels = sent.value
         for batch in batches:
             column = batch.column("set")
-            firsts, ns = [], []
+            firsts, sizes = [], []
             for i in range(batch.num_rows):
                 x = column[i].values.to_numpy().view(np.uint64)
                 order = np.argsort(levels[x % np.uint64(COUNTERS)], kind="stable")
                 least = -(-nearness.percent * len(x) // 100)
                 firsts.append(x[order[: len(x) - least + 1]])
-                ns.append(len(x))
+                sizes.append(len(x))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("rep"), pa.array(ns, pa.int64()), _lists(firsts)], ["rep", "n", "keys"]
+                [batch.column("rep"), pa.array(sizes, pa.int64()), _lists(firsts)], ["rep", "n", "keys"]
             )
 
     with batches_of(own.sparkSession, TEXT_ROWS):
         found = settle(own.mapInArrow(run, "rep long, n long, keys array<long>"))
     sent.destroy()
-    return found.select("rep", "n", F.explode("keys").alias("key"))
+    return found.select("rep", "n", F.posexplode("keys").alias("at", "key"))
 
 
 def _with_component(seen: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
