@@ -15,16 +15,20 @@ DATE_TEXT_PATTERN = r"^\d{1,2}/\d{1,2}/\d{4}$"
 UTC = "UTC"
 
 
+def try_date_text(text: Column) -> Column:
+    """``dd/MM/yyyy`` text to a date, null if it is none."""
+    return F.when(text.rlike(DATE_TEXT_PATTERN), F.try_to_date(text, DATE_TEXT_FORMAT))
+
+
 def parse_date_text(text: Column) -> Column:
     """``dd/MM/yyyy`` text to a date; one-digit days and months are accepted.
 
     Anything else, null and empty text included, raises.
     """
-    parsed = F.when(text.rlike(DATE_TEXT_PATTERN), F.try_to_date(text, DATE_TEXT_FORMAT))
     problem = F.concat(
         F.lit("not a dd/MM/yyyy date: "), F.coalesce(text, F.lit("null"))
     )
-    return F.coalesce(parsed, F.raise_error(problem).cast("date"))
+    return F.coalesce(try_date_text(text), F.raise_error(problem).cast("date"))
 
 
 def event_date(df: DataFrame, name: str, time_zone: str = UTC) -> Column:

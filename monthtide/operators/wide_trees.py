@@ -76,13 +76,16 @@ class WideForest:
     def transform(self, df: DataFrame) -> DataFrame:
         """``df`` and ``prediction``."""
         index = F.col("category_idx") if "category_idx" in df.columns else F.lit(0.0)
-        rows = df.select(
+        named = df.select(
             F.struct(*[F.col(c) for c in df.columns]).alias("of"),
             F.monotonically_increasing_id().alias("row"),
-            F.explode(F.sequence(F.lit(0), F.lit(self.trees - 1))).alias("tree"),
-            F.lit(1).cast("long").alias("node"),
             F.col("id").cast("double").alias("month_id"),
             index.cast("double").alias("category_idx"),
+        )
+        rows = named.select(
+            "*",
+            F.explode(F.sequence(F.lit(0), F.lit(self.trees - 1))).alias("tree"),
+            F.lit(1).cast("long").alias("node"),
             F.lit(None).cast("double").alias("mean"),
         )
         for _ in range(self.depth + 1):
@@ -132,49 +135,54 @@ def grow(
     work = work or Workspace(training.sparkSession)
     by_category = "category_idx" in training.columns
     rows = _planted(training, trees, bootstrap, by_category, seed)
-    thresholds = _thresholds(training)
+    thresholds = work.settle(_thresholds(training))
     nodes: list[DataFrame] = []
     lefts: list[DataFrame] = []
-    for level in range(max_depth + 1):
-        if level and level % REROUTED == 0:
-            rows = work.settle(rows)
-        seen = Observation()
-        values = _values(rows, by_category, all_features, seed)
-        values = work.settle(values.observe(seen, F.count(F.lit(1)).alias("values")))
-        if not seen.get["values"]:
-            if not level:
-                raise ValueError("no rows to fit")
-            break
-        ranged = seen.get["values"] > RANGED_FROM
-        found, grown = Observation(), _best(_running(values, ranged, work), level < max_depth)
-        grown = grown.join(thresholds, (F.col("feature") == MONTH) & (F.col("value") == F.col("at")), "left")
-        here = work.settle(
-            grown.select(*NODE, "mean", "feature", "threshold", "place", "tie").observe(
-                found, F.count("feature").alias("splits")
+    held: list[DataFrame] = []
+    try:
+        size = None
+        for level in range(max_depth + 1):
+            if level and level % REROUTED == 0:
+                rows = work.settle(rows)
+            values = _values(rows, by_category, all_features, seed).persist()
+            held.append(values)
+            if size is None:
+                # levels differ little in how many values they have
+                size = values.count()
+                if not size:
+                    raise ValueError("no rows to fit")
+            grown = _best(_running(values, size > RANGED_FROM, work), level < max_depth)
+            at_month = (F.col("feature") == MONTH) & (F.col("value") == F.col("at"))
+            found = Observation()
+            grown = work.settle(
+                grown.join(thresholds, at_month, "left")
+                .select(*NODE, "mean", "feature", "threshold", "place", "tie")
+                .observe(found, F.count("feature").alias("splits"))
             )
+            nodes.append(grown)
+            if not found.get["splits"]:
+                break
+            cuts = grown.where(F.col("feature") == CATEGORY).select(
+                *NODE, F.col("place").alias("cut"), F.col("tie").alias("cut_tie")
+            )
+            before = (F.col("place") < F.col("cut")) | (
+                (F.col("place") == F.col("cut")) & (F.col("tie") <= F.col("cut_tie"))
+            )
+            left = values.where(F.col("feature") == CATEGORY).join(cuts, NODE).where(before)
+            lefts.append(left.select(*NODE, F.col("value").alias("category_idx")))
+            rows = _routed(rows, grown, lefts[-1]).where("node is not null")
+            rows = rows.withColumn("mean", F.lit(None).cast("double"))
+        none = nodes[0].where("false").select(*NODE, F.lit(0.0).alias("category_idx"))
+        return WideForest(
+            reduce(DataFrame.union, nodes).select(*NODE, "mean", "feature", "threshold"),
+            work.settle(reduce(DataFrame.union, lefts, none)),
+            trees,
+            len(nodes) - 1,
+            work,
         )
-        nodes.append(here)
-        if not found.get["splits"]:
-            break
-        cuts = here.where(F.col("feature") == CATEGORY).select(
-            *NODE, F.col("place").alias("cut"), F.col("tie").alias("cut_tie")
-        )
-        before = (F.col("place") < F.col("cut")) | (
-            (F.col("place") == F.col("cut")) & (F.col("tie") <= F.col("cut_tie"))
-        )
-        left = values.where(F.col("feature") == CATEGORY).join(cuts, NODE).where(before)
-        lefts.append(work.settle(left.select(*NODE, F.col("value").alias("category_idx"))))
-        rows = _routed(rows, here, lefts[-1]).where("node is not null").drop("mean")
-        rows = rows.withColumn("mean", F.lit(None).cast("double"))
-    whole = reduce(DataFrame.union, nodes)
-    none = nodes[0].where("false").select(*NODE, F.lit(0.0).alias("category_idx"))
-    return WideForest(
-        whole.select(*NODE, "mean", "feature", "threshold"),
-        reduce(DataFrame.union, lefts, none),
-        trees,
-        len(nodes) - 1,
-        work,
-    )
+    finally:
+        for values in held:
+            values.unpersist()
 
 
 def _planted(

@@ -13,14 +13,15 @@ from monthtide.operators.tuning import PARALLELISM
 from monthtide.plans.direct import forecast_direct, tuned_glr
 from monthtide.plans.recursive import forecast_recursive
 from monthtide.plans.training import build_series
-from monthtide.shared import settle
+from monthtide.shared import scratch
 from monthtide.sources.forecast_files import (
     direct_name,
     recursive_name,
     recursive_name_from_input,
     write_forecast,
 )
-from monthtide.sources.tables import OVERALL, read_table, resolve_dimension
+from monthtide.sources.publish import publish
+from monthtide.sources.tables import OVERALL, read_records, read_table, resolve_dimension
 
 METHODS = ("recursive", "direct")
 
@@ -42,6 +43,7 @@ def run_forecast_job(
     parallelism: int = PARALLELISM,
     files: int | None = 1,
     work_dir: str | None = None,
+    quarantine: str | None = None,
 ) -> DataFrame:
     """Forecast the rows of ``path`` and return ``Date, [<by>], prediction``.
 
@@ -49,10 +51,11 @@ def run_forecast_job(
     and what is returned reads those. All arguments are checked before the first row is
     read. ``required_in_path`` are texts the input's path must contain, ``allowed`` the
     dimensions to accept (any column by default). ``fit`` takes the place of the tuned
-    model, ``parallelism`` is the number of fits at a time.
+    model, ``parallelism`` is the number of fits at a time. Records that cannot be counted raise,
+    or with ``quarantine`` are written to that path as parquet (reason, file, record) and left out.
 
     The job's tables in the shared folder are removed at its end; only a forecast that
-    isn't saved stays there, as one table.
+    isn't saved stays there, as one table, until the scope around the job ends.
     """
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}, not {method!r}")
@@ -60,16 +63,22 @@ def run_forecast_job(
         if text not in path:
             raise ValueError(f"the input path must contain {text!r}: {path}")
     check_horizon(horizon)
-    df = read_table(spark, path)
+    records = None if quarantine is None else read_records(spark, path, date_col)
+    df = records.good if records else read_table(spark, path)
     column = resolve_dimension(df, by, allowed)
-    with build_series(df, column, date_col, null_category, time_zone, work_dir) as series:
+    if records:
+        publish(records.bad, quarantine, "parquet")
+    with (
+        scratch(spark) as scope,
+        build_series(df, column, date_col, null_category, time_zone, work_dir) as series,
+    ):
         if method == "recursive":
             forecast = forecast_recursive(series, horizon, fit=fit, parallelism=parallelism)
         else:
             chosen = fit or (lambda training: tuned_glr(training, parallelism))
             forecast = forecast_direct(series, horizon, chosen)
         if save_path is None:
-            return settle(forecast, work_dir)
+            return scope.keep(forecast, work_dir)
         if method == "direct":
             target = direct_name(by, horizon, save_path)
         elif name_from_input:

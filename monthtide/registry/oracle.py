@@ -395,6 +395,11 @@ def sql() -> dict[str, str]:
     forecast = ols_forecast_sql(3, "SELECT * FROM forecast")
     return {
         "csv_scan": ORDER_TEXTS,
+        "csv_reordered_header": ORDER_TEXTS,
+        "csv_quarantine": """
+SELECT CASE o_orderkey % 50 WHEN 0 THEN 'not a date' WHEN 1 THEN 'no date'
+            WHEN 2 THEN 'malformed row' ELSE 'good' END AS kind, count(*) AS n
+FROM orders GROUP BY 1""",
         "csv_monthly_counts_by_priority": counts_sql("priority"),
         "csv_sink_roundtrip": forecast,
         "generic_sink_roundtrip": counts_sql("supplier"),

@@ -1,7 +1,7 @@
 """Decision trees in SQL: variance-reducing splits, grown one level per CTE.
 
-``grown_rows(run, x1, x2, y, trained, month, category)`` holds the training rows and the
-rows to predict of each run (a fold, or all rows). A split on the month number lies
+``<prefix>_input(run, x1, x2, y, w, trained, month, category)`` holds the training rows, with
+their weight, and the rows to predict of each run (a fold, a tree of a forest, or all rows). A split on the month number lies
 halfway between two neighbouring month numbers of the run; a split on the category takes
 a prefix of the categories ordered by their mean in the node. The best gain wins, on a
 tie the month number before the category and the earlier split before the later. Node 1
@@ -10,23 +10,33 @@ is the root, the children of node k are 2k and 2k + 1.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 
-def level_ctes(prefix: str, level: int) -> str:
-    """Nodes of one level and, from them, the rows of the next."""
+def chance(*parts: str) -> str:
+    """From 0 up to 1, by the first eight hex digits of an MD5."""
+    text = " || ':' || ".join(f"CAST({p} AS VARCHAR)" for p in parts)
+    return f"(CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT) / 4294967296.0)"
+
+
+def level_ctes(prefix: str, level: int, month: str = "true", category: str = "true") -> str:
+    """Nodes of one level and, from them, the rows of the next.
+
+    ``month`` and ``category`` tell which nodes may be split by these.
+    """
     rows = f"{prefix}_rows{level}"
     return f"""
 {prefix}_nodes{level} AS MATERIALIZED (
-  SELECT run, node, sum(y) AS ty, sum(y * y) AS tyy, count(*)::DOUBLE AS tc
-  FROM {rows} WHERE trained GROUP BY run, node),
+  SELECT run, node, sum(w * y) AS ty, sum(w * y * y) AS tyy, sum(w)::DOUBLE AS tc
+  FROM {rows} WHERE trained AND w > 0 GROUP BY run, node),
 {prefix}_values{level} AS (
   SELECT run, node, 1 AS feature, x1 AS value, x1 AS place, 0.0 AS tie,
-         sum(y) AS vy, sum(y * y) AS vyy, count(*)::DOUBLE AS vc
-  FROM {rows} WHERE trained GROUP BY run, node, x1
+         sum(w * y) AS vy, sum(w * y * y) AS vyy, sum(w)::DOUBLE AS vc
+  FROM {rows} WHERE trained AND w > 0 AND {month} GROUP BY run, node, x1
   UNION ALL
-  SELECT run, node, 2, x2, sum(y) / count(*), x2, sum(y), sum(y * y), count(*)::DOUBLE
-  FROM {rows} WHERE trained GROUP BY run, node, x2),
+  SELECT run, node, 2, x2, sum(w * y) / sum(w), x2, sum(w * y), sum(w * y * y), sum(w)::DOUBLE
+  FROM {rows} WHERE trained AND w > 0 AND {category} GROUP BY run, node, x2),
 {prefix}_lefts{level} AS (
   SELECT *, sum(vy) OVER w AS ly, sum(vyy) OVER w AS lyy, sum(vc) OVER w AS lc
   FROM {prefix}_values{level}
@@ -43,7 +53,7 @@ def level_ctes(prefix: str, level: int) -> str:
   SELECT * FROM {prefix}_gains{level} WHERE gain > 0
   QUALIFY row_number() OVER (PARTITION BY run, node ORDER BY gain DESC, feature, place, tie) = 1),
 {prefix}_rows{level + 1} AS MATERIALIZED (
-  SELECT r.run, r.x1, r.x2, r.y, r.trained, r.month, r.category,
+  SELECT r.run, r.x1, r.x2, r.y, r.w, r.trained, r.month, r.category,
          2 * r.node + CASE
            WHEN b.feature = 1 THEN CASE WHEN r.x1 <= t.threshold THEN 0 ELSE 1 END
            WHEN v.place < b.place OR (v.place = b.place AND v.tie <= b.tie) THEN 0
@@ -55,13 +65,13 @@ def level_ctes(prefix: str, level: int) -> str:
     ON v.feature = 2 AND v.run = r.run AND v.node = r.node AND v.value = r.x2)"""
 
 
-def tree_ctes(prefix: str, depth: int) -> str:
+def tree_ctes(prefix: str, depth: int, month: str = "true", category: str = "true") -> str:
     """From ``<prefix>_input`` to ``<prefix>_levels(run, ..., level, prediction)``.
 
     ``levels`` has each row once per level it reaches; its prediction by a tree of
     depth d is the one of its last level up to d.
     """
-    levels = ",".join(level_ctes(prefix, level) for level in range(depth + 1))
+    levels = ",".join(level_ctes(prefix, level, month, category) for level in range(depth + 1))
     reached = "\n  UNION ALL\n".join(
         f"""  SELECT r.run, x1, x2, y, trained, month, category, {level} AS level,
          ty / tc AS prediction
@@ -85,11 +95,14 @@ def at_depth(prefix: str, depth: int, where: str = "true") -> str:
   QUALIFY row_number() OVER (PARTITION BY run, month, category ORDER BY level DESC) = 1"""
 
 
-def input_rows(source: str, overall: bool, run: str, trained: str, where: str) -> str:
+def input_rows(
+    source: str, overall: bool, run: str, trained: str, where: str, weight: str = "1.0::DOUBLE"
+) -> str:
     x2, category = ("0.0", "''") if overall else ("category_idx", "category")
     return f"""
   SELECT {run} AS run, CAST(id AS DOUBLE) AS x1, CAST({x2} AS DOUBLE) AS x2,
-         CAST(n AS DOUBLE) AS y, {trained} AS trained, month, {category} AS category
+         CAST(n AS DOUBLE) AS y, {weight} AS w, {trained} AS trained, month,
+         {category} AS category
   FROM {source} WHERE {where}"""
 
 
@@ -214,6 +227,32 @@ def recursive_forecast_sql(series: str, by: str | None, horizon: int) -> str:
     return f"WITH {','.join(ctes)}\n{parts}"
 
 
+def recursive_tree_sql(series: str, by: str, depth: int, horizon: int) -> str:
+    """As ``recursive_forecast_sql``, with trees of one depth."""
+    ctes = [series]
+    for step in range(1, horizon + 1):
+        prefix, source = f"s{step}", "series" if step == 1 else f"s{step}_training"
+        ctes.append(future_cte(f"{prefix}_future", False, step))
+        if step > 1:
+            ctes.append(f"""
+{source} AS MATERIALIZED (
+  SELECT month, category, category_idx, CAST(id AS DOUBLE) AS id, CAST(n AS DOUBLE) AS n FROM series
+  UNION ALL
+  SELECT month, category, x2, x1, prediction FROM s{step - 1}_predicted)""")
+        ctes.append(f"""
+{prefix}_input AS MATERIALIZED (
+{input_rows(source, False, '0', 'true', 'true')}
+  UNION ALL
+{input_rows(prefix + '_future', False, '0', 'false', 'true')}),
+{tree_ctes(prefix, depth)},
+{prefix}_predicted AS MATERIALIZED ({at_depth(prefix, depth)})""")
+    parts = "\nUNION ALL\n".join(
+        f'SELECT month AS "Date", category AS {by}, round(prediction, 0) AS prediction FROM s{k}_predicted'
+        for k in range(1, horizon + 1)
+    )
+    return f"WITH {','.join(ctes)}\n{parts}"
+
+
 def ols_recursive_sql(series: str, horizon: int) -> str:
     """Step k fits a line to the history and to what step k - 1 predicted."""
     steps = []
@@ -232,9 +271,47 @@ p{k} AS MATERIALIZED (
     return f"WITH {series},{','.join(steps)}\n{parts}"
 
 
-def sampled_forest_sql(series: str, category: str, test: str) -> str:
-    return f"""WITH {series}
-SELECT month, {category}id, n, true AS is_mean, true AS in_range FROM series WHERE {test}"""
+def forest_ctes(overall: bool, trees: int, depth: int, train: str, test: str) -> str:
+    """``fitted``: the test rows with the mean over trees on rows weighted by hash.
+
+    A weight is a Poisson number: how many values of the distribution function its chance
+    reaches. Where there are two features, a node's hash chooses which one may split it.
+    """
+    of_row = chance("17", "k", "''" if overall else "category", "CAST(id AS BIGINT)")
+    reached, total = [], 0.0
+    for k in range(13):
+        total += math.exp(-1) / math.factorial(k)
+        reached.append(f"CASE WHEN u >= {total!r} THEN 1 ELSE 0 END")
+    of_node = chance("17", "run", "node", "'feature'")
+    month, category = ("true", "false") if overall else (f"{of_node} < 0.5", f"{of_node} >= 0.5")
+    grouped = "month" if overall else "month, category"
+    return f"""
+drawn AS (
+  SELECT *, CAST({" + ".join(reached)} AS DOUBLE) AS weight
+  FROM (SELECT *, {of_row} AS u FROM series, generate_series(0, {trees - 1}) AS g(k))),
+f_input AS MATERIALIZED (
+{input_rows('drawn', overall, 'k', 'true', train, 'weight')}
+  UNION ALL
+{input_rows('drawn', overall, 'k', 'false', test)}),
+{tree_ctes('f', depth, month, category)},
+fitted AS (
+  SELECT {grouped}, x1, y, avg(prediction) AS prediction
+  FROM ({at_depth('f', depth)}) GROUP BY {grouped}, x1, y)"""
+
+
+def forest_sql(series: str, overall: bool, trees: int, depth: int, train: str, test: str) -> str:
+    category = "" if overall else "category, "
+    return f"""WITH {series},
+{forest_ctes(overall, trees, depth, train, test)}
+SELECT month, {category}CAST(x1 AS INTEGER) AS id, CAST(y AS BIGINT) AS n,
+       round(prediction, 6) AS prediction FROM fitted"""
+
+
+def forest_metrics_sql(series: str, train: str, test: str, metrics: dict[str, str]) -> str:
+    values = ", ".join(f"round({sql}, 6) AS {name}" for name, sql in metrics.items())
+    return f"""WITH {series},
+{forest_ctes(False, 10, 3, train, test)}
+SELECT {values} FROM (SELECT y AS n, prediction AS p FROM fitted)"""
 
 
 def tree_queries(
@@ -255,9 +332,16 @@ def tree_queries(
         ),
         "whole_forest_overall": fitted_sql(overall, True, 3, f"month < {test_after}", test),
         "whole_forest_by_supplier": fitted_sql(supplier, False, 3, f"month < {test_after}", test),
-        "forest_fit_predict": sampled_forest_sql(overall, "", test),
-        "forest_by_supplier": sampled_forest_sql(supplier, "category, ", test),
-        "forest_metrics_by_supplier": "SELECT true AS mae_at_most_rmse, true AS r2_at_most_one",
+        "forest_fit_predict": forest_sql(overall, True, 3, 5, f"month < {test_after}", test),
+        "forest_by_supplier": forest_sql(supplier, False, 10, 3, f"month < {test_after}", test),
+        "forest_metrics_by_supplier": forest_metrics_sql(
+            supplier, f"month < {test_after}", test, metrics
+        ),
+        "wide_tree_by_supplier": fitted_sql(supplier, False, 3, f"month < {test_after}", test),
+        "wide_tree_by_customer": fitted_sql(
+            by_category("customer"), False, 3, f"month < {test_after}", test
+        ),
+        "wide_tree_recursive_by_priority": recursive_tree_sql(priority, "o_orderpriority", 4, 2),
         "tree_metrics_by_priority": metrics_sql(priority, 3, test, metrics),
         "tree_metrics_by_returnflag": metrics_sql(by_category("returnflag"), 5, test, metrics),
         "forecast_job_recursive": recursive_forecast_sql(overall, None, 3),
@@ -266,6 +350,9 @@ def tree_queries(
         "tree_forecast_by_supplier": recursive_forecast_sql(supplier, "l_suppkey", 2),
         "ols_recursive_overall": ols_recursive_sql(overall, 3),
         "forecast_job_named_after_input": ols_recursive_sql(overall, 3),
+        "forecast_job_with_quarantine": ols_recursive_sql(overall, 3).replace(
+            "FROM orders", "FROM (SELECT * FROM orders WHERE o_orderkey % 50 > 2)"
+        ),
         "tree_forecast_overall": recursive_forecast_sql(overall, None, 3),
         "tree_forecast_by_category": recursive_forecast_sql(priority, "o_orderpriority", 3),
     }

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,6 +40,7 @@ from monthtide.operators.series import (
     series_bounds,
 )
 from monthtide.operators.tuning import tune_generalized_linear, tune_linear, tune_tree
+from monthtide.operators.wide_trees import wide_forest, wide_tree
 from monthtide.plans.direct import forecast_direct
 from monthtide.plans.finish import forecast_lines, preview
 from monthtide.plans.job import run_forecast_job
@@ -54,7 +54,7 @@ from monthtide.sources.forecast_files import (
     write_forecast,
     write_parts,
 )
-from monthtide.sources.tables import read_csv
+from monthtide.sources.tables import read_csv, read_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -132,6 +132,37 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders_csv(spark, sf_dir)
 
 
+@query("csv_reordered_header")
+def csv_reordered_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns in another order, found by the file's own header."""
+    texts = order_texts(spark, sf_dir)
+    path = scratch_path(spark, "orders-csv")
+    write_parts(texts.select(*reversed(texts.columns)), path)
+    return read_csv(spark, path).select(texts.columns)
+
+
+def torn_orders_csv(spark: SparkSession, sf_dir: str) -> str:
+    """A file in which some lines lack fields, and some dates are missing or no dates."""
+    kind = F.col("order_key").cast("long") % 50
+    day = F.when(kind == 0, "31/02/1999").when(kind == 1, "").otherwise(F.col("removal_date"))
+    whole = F.concat_ws(",", day, "order_key", "specialty", "priority")
+    line = F.when(kind == 2, F.concat_ws(",", day, "order_key")).otherwise(whole)
+    texts = order_texts(spark, sf_dir)
+    path = f"{scratch_path(spark, 'torn')}/orders.csv"
+    lines = texts.select(line.alias("value")).repartition(1)
+    header = spark.range(1, numPartitions=1).select(F.lit(",".join(texts.columns)).alias("value"))
+    header.union(lines).coalesce(1).write.text(path)
+    return path
+
+
+@query("csv_quarantine")
+def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many records can be counted, and how many cannot for which reason."""
+    records = read_records(spark, torn_orders_csv(spark, sf_dir))
+    good = records.good.select(F.lit("good").alias("kind"))
+    return good.union(records.bad.select("reason")).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("csv_monthly_counts_by_priority")
 def csv_monthly_counts_by_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monthly_counts(orders_csv(spark, sf_dir), "removal_date", "priority")
@@ -538,35 +569,46 @@ def whole_forest_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def forest_rows(series: MonthlySeries, trees: int, depth: int) -> DataFrame:
-    """The tested rows, ``prediction``, and what holds for it however a forest samples.
-
-    ``is_mean``: it is the mean of the trees' own predictions. ``in_range``: it lies within
-    the training labels.
-    """
+    """Trees on rows weighted by hash, disjoint cuts."""
     train, test = holdout(series.frame, TEST_AFTER, TEST_AFTER)
-    forest = models.forest(train, trees, depth, tree_bins(series))
-    predicted = forest.transform(test)
-    own = [f"tree_{i}" for i in range(trees)]
-    for name, tree in zip(own, forest.trees):
-        predicted = tree.setPredictionCol(name).transform(predicted)
-    low, high = train.agg(F.min("n"), F.max("n")).first()
-    mean = reduce(lambda a, b: a + b, [F.col(c) for c in own]) / trees
-    category = ["category"] if series.by else []
-    return predicted.select(
-        "month", *category, F.col("id"), "n", "prediction",
-        (F.abs(F.col("prediction") - mean) < 1e-9 * (1 + F.abs(mean))).alias("is_mean"),
-        F.col("prediction").between(low, high).alias("in_range"),
-    )
+    return fitted_rows(series, lambda df: wide_forest(df, trees, depth), train, test)
 
 
 @query("forest_fit_predict")
 def forest_fit_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return forest_rows(overall_series(spark, sf_dir), 3, 5).drop("prediction")
+    predicted = forest_rows(overall_series(spark, sf_dir), 3, 5)
+    return predicted.withColumn("prediction", rounded("prediction"))
 
 
 @query("forest_by_supplier")
 def forest_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return forest_rows(category_series(spark, sf_dir, "supplier"), 10, 3).drop("prediction")
+    predicted = forest_rows(category_series(spark, sf_dir, "supplier"), 10, 3)
+    return predicted.withColumn("prediction", rounded("prediction"))
+
+
+def wide_tree_rows(series: MonthlySeries) -> DataFrame:
+    train, test = holdout(series.frame, TEST_AFTER, TEST_AFTER)
+    predicted = fitted_rows(series, lambda df: wide_tree(df, 3), train, test)
+    return predicted.withColumn("prediction", rounded("prediction"))
+
+
+@query("wide_tree_by_supplier")
+def wide_tree_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``tree_by_supplier``, grown without a bin for each supplier."""
+    return wide_tree_rows(category_series(spark, sf_dir, "supplier"))
+
+
+@query("wide_tree_by_customer")
+def wide_tree_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Very many categories, each missing from most months."""
+    series = build_series(table(spark, sf_dir, "orders"), "o_custkey", "o_orderdate")
+    return wide_tree_rows(series)
+
+
+@query("wide_tree_recursive_by_priority")
+def wide_tree_recursive_by_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    series = category_series(spark, sf_dir, "priority")
+    return forecast_recursive(series, 2, fit=lambda training: wide_tree(training, 4))
 
 
 # --- evaluation and tuning ---------------------------------------------------------
@@ -633,12 +675,7 @@ def tree_metrics_by_returnflag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("forest_metrics_by_supplier")
 def forest_metrics_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What holds for the metrics of any predictions within the labels' range."""
-    rows = forest_rows(category_series(spark, sf_dir, "supplier"), 10, 3)
-    return metrics_frame(rows).select(
-        ((F.col("mae") >= 0) & (F.col("mae") <= F.col("rmse"))).alias("mae_at_most_rmse"),
-        (F.col("r2") <= 1).alias("r2_at_most_one"),
-    )
+    return rounded_metrics(forest_rows(category_series(spark, sf_dir, "supplier"), 10, 3))
 
 
 @query("cv_model_choice")
@@ -780,6 +817,14 @@ def forecast_job_named_after_input(spark: SparkSession, sf_dir: str) -> DataFram
     )
 
 
+@query("forecast_job_with_quarantine")
+def forecast_job_with_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that cannot be counted are set aside."""
+    path = torn_orders_csv(spark, sf_dir)
+    aside = scratch_path(spark, "aside")
+    return run_forecast_job(spark, path, "overall", HORIZON, fit=ElasticNet(), quarantine=aside)
+
+
 @query("forecast_job_without_nulls")
 def forecast_job_without_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders without a category are left out."""

@@ -6,6 +6,7 @@ import os
 
 from pyspark.sql import DataFrame
 
+from monthtide.sources.publish import publish
 from monthtide.sources.tables import OVERALL
 
 # Fixed values below: the names of forecast files.
@@ -43,7 +44,7 @@ def write_forecast(
     path: str,
     files: int | None = 1,
 ) -> None:
-    """CSV with a header, replacing ``path``, sorted by date and category.
+    """CSV with a header, sorted by date and category; once whole, it replaces ``path``.
 
     ``files`` part files, one by default; None leaves the number to Spark. Each file is
     sorted, and with more than one they follow each other.
@@ -56,9 +57,9 @@ def write_forecast(
         laid_out = forecast.repartitionByRange(*keys)
     else:
         laid_out = forecast.repartitionByRange(files, *keys)
-    laid_out.sortWithinPartitions(*keys).write.csv(path, mode="overwrite", header=True)
+    publish(laid_out.sortWithinPartitions(*keys), path)
 
 
 def write_parts(df: DataFrame, path: str, fmt: str = "csv") -> None:
-    """Any format by name, one file per partition, replacing ``path``."""
-    df.write.format(fmt).mode("overwrite").option("header", True).save(path)
+    """Any format by name, one file per partition; once whole, they replace ``path``."""
+    publish(df, path, fmt)

@@ -1,0 +1,139 @@
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import DataFrameReader
+from pyspark.sql import functions as F
+
+from data import events, months
+from monthtide import run_forecast_job, shared
+from monthtide.operators.moments import ElasticNet
+from monthtide.operators.wide_trees import wide_tree
+from monthtide.shared import scratch, scratch_path, settle
+from monthtide.sources.forecast_files import write_forecast
+from monthtide.sources.publish import REPLACED, publish, recover
+
+
+def rows_at(spark, path):
+    return sorted(tuple(r) for r in spark.read.option("header", True).csv(path).collect())
+
+
+@pytest.fixture
+def target(spark, tmp_path):
+    path = str(tmp_path / "out" / "forecast.csv")
+    publish(spark.range(3).selectExpr("id as Date", "'old' as prediction"), path)
+    return path
+
+
+def names(path):
+    return sorted(os.listdir(os.path.dirname(path)))
+
+
+def test_replaces_and_leaves_nothing_beside(spark, target):
+    publish(spark.range(2).selectExpr("id as Date", "'new' as prediction"), target)
+    assert rows_at(spark, target) == [("0", "new"), ("1", "new")]
+    assert names(target) == ["forecast.csv"]
+
+
+@pytest.mark.parametrize("write", [publish, write_forecast])
+def test_a_write_that_fails_leaves_the_old_one(spark, target, write):
+    """Some tasks have written their files when another fails."""
+    torn = spark.range(0, 400, 1, 8).select(
+        F.col("id").alias("Date"),
+        F.when(F.col("id") == 399, F.raise_error(F.lit("lost")).cast("string")).otherwise("new").alias("prediction"),
+    )
+    with pytest.raises(Exception, match="lost"):
+        write(torn, target)
+    assert rows_at(spark, target) == [(str(i), "old") for i in range(3)]
+    assert names(target) == ["forecast.csv"]
+
+
+def test_what_is_not_whole_is_not_published(spark, target, monkeypatch):
+    """The part files get lost between writing and reading back."""
+    folder = os.path.dirname(target)
+
+    def losing(session):
+        for staged in (x for x in os.listdir(folder) if x.startswith("_staged-")):
+            for part in os.listdir(os.path.join(folder, staged)):
+                if "part-" in part:
+                    os.remove(os.path.join(folder, staged, part))
+        return DataFrameReader(session)
+
+    df = spark.range(9).selectExpr("id as Date", "'new' as prediction")
+    with monkeypatch.context() as patched:
+        patched.setattr(type(spark), "read", property(losing))
+        with pytest.raises(OSError, match="not the 9 written"):
+            publish(df, target)
+    assert rows_at(spark, target) == [(str(i), "old") for i in range(3)]
+    assert names(target) == ["forecast.csv"]
+
+
+def test_an_interrupted_swap_is_put_right(spark, target):
+    folder = os.path.dirname(target)
+    os.rename(target, os.path.join(folder, f"{REPLACED}forecast.csv-1"))
+    assert recover(spark, target) and not recover(spark, target)
+    assert rows_at(spark, target) == [(str(i), "old") for i in range(3)]
+
+
+def test_new_targets_other_formats_and_line_ends(spark, tmp_path):
+    path = str(tmp_path / "a" / "b" / "x")
+    df = spark.createDataFrame([("a\nb", 1.0), ('q"', None)], "k string, v double")
+    publish(df, path)
+    publish(df, path + ".parquet", "parquet")
+    publish(df.where("false"), path + ".empty")
+    assert sorted(map(tuple, spark.read.parquet(path + ".parquet").collect())) == [("a\nb", 1.0), ('q"', None)]
+    assert spark.read.option("header", True).csv(path + ".empty").count() == 0
+
+
+def scratch_files(folder):
+    top = os.path.join(folder, "monthtide")
+    return sorted(os.listdir(top)) if os.path.isdir(top) else []
+
+
+def test_scopes_remove_their_tables(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path)
+    monkeypatch.setattr(shared, "shared_dir", lambda *_: folder)
+    with scratch(spark) as outer:
+        with scratch(spark) as inner:
+            first = settle(spark.range(4))
+            kept = inner.keep(first.where("id > 1"))
+            assert first.count() == 4 and len(scratch_files(folder)) == 2
+        assert kept.count() == 2 and len(scratch_files(folder)) == 1
+        last = outer.keep(kept)
+    assert last.count() == 2 and len(scratch_files(folder)) == 1
+    with pytest.raises(RuntimeError), scratch(spark):
+        settle(spark.range(4))
+        raise RuntimeError
+    assert len(scratch_files(folder)) == 1
+    assert scratch_path(spark, "x").startswith(folder)
+
+
+@pytest.mark.parametrize("method, fit", [("recursive", None), ("recursive", ElasticNet()), ("direct", None), ("recursive", lambda df: wide_tree(df, 2))])
+def test_a_job_leaves_nothing_but_its_forecast(spark, tmp_path, monkeypatch, method, fit):
+    folder = str(tmp_path / "scratch")
+    monkeypatch.setattr(shared, "shared_dir", lambda *_: folder)
+    records = str(tmp_path / "records.parquet")
+    counts = {(k, m): i + 2 for k in "ab" for i, m in enumerate(months(dt.date(2015, 1, 1), 9))}
+    events(spark, counts).write.parquet(records)
+    saved = run_forecast_job(spark, records, "doctor", 2, str(tmp_path / "out"), method, fit=fit)
+    assert saved.count() == 4 and scratch_files(folder) == []
+    with scratch(spark):
+        assert run_forecast_job(spark, records, "doctor", 2, method=method, fit=fit).count() == 4
+        assert len(scratch_files(folder)) == 1
+    assert scratch_files(folder) == []
+
+
+def test_a_job_with_bad_records(spark, tmp_path):
+    path = tmp_path / "records.csv"
+    lines = [f"0{1 + i % 9}/0{1 + i // 9}/2015,a" for i in range(45)]
+    path.write_text("date,doctor\n" + "\n".join([*lines, "soon,a", ",a"]) + "\n")
+    aside = str(tmp_path / "aside")
+    with pytest.raises(Exception, match="dd/MM/yyyy"):
+        run_forecast_job(spark, str(path), fit=ElasticNet()).collect()
+    with pytest.raises(ValueError):
+        run_forecast_job(spark, str(path), "ward", quarantine=aside)
+    assert not os.path.exists(aside)
+    got = run_forecast_job(spark, str(path), fit=ElasticNet(), quarantine=aside).collect()
+    assert [r.prediction for r in got] == [9.0] * 3
+    found = spark.read.parquet(aside).orderBy("record").collect()
+    assert [(r.reason, r.record) for r in found] == [("no date", ",a"), ("not a date", "soon,a")]

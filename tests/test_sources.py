@@ -14,6 +14,7 @@ from monthtide.sources.forecast_files import (
 from monthtide.sources.tables import (
     find_date_column,
     read_csv,
+    read_records,
     read_table,
     require_date_column,
     resolve_dimension,
@@ -86,3 +87,45 @@ def test_forecast_files(spark, tmp_path):
     for path in (one, many, free, parts):
         rows = spark.read.option("header", True).csv(path)
         assert rows.columns == ["Date", "prediction"] and rows.count() == 10
+
+
+def test_other_headers_raise(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text("date,doctor\n01/04/2015,a\n")
+    (folder / "b.csv").write_text("doctor,date\nb,02/04/2015\n")
+    for df in (read_csv(spark, str(folder)), read_csv(spark, str(folder), ["date", "doctor"])):
+        with pytest.raises(Exception, match="(?i)header"):
+            df.collect()
+    one = str(folder / "b.csv")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, one, ["date", "doctor"]).collect()
+    assert read_csv(spark, one).select("date", "doctor").first() == ("02/04/2015", "b")
+
+
+def test_records_that_cannot_be_counted_are_set_aside(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text(
+        "Removal Date,Doctor\n01/04/2015,a\n31/02/2015,b\n2015-04-01,b\n,c\n  ,c\n"
+        "01/04/2015\n01/04/2015,a,x\n01/04/2015 10:00,a\n1/4/2015,\n"
+    )
+    records = read_records(spark, str(folder))
+    assert records.good.columns == ["Removal Date", "Doctor"]
+    assert sorted(map(tuple, records.good.collect()), key=str) == [("01/04/2015", "a"), ("1/4/2015", None)]
+    bad = sorted((r.reason, r.record) for r in records.bad.collect())
+    assert bad == [
+        ("malformed row", "01/04/2015"), ("malformed row", "01/04/2015,a,x"),
+        ("no date", "  ,c"), ("no date", ",c"),
+        ("not a date", "01/04/2015 10:00,a"), ("not a date", "2015-04-01,b"), ("not a date", "31/02/2015,b"),
+    ]
+    assert all(r.file.endswith("a.csv") for r in records.bad.collect())
+
+
+def test_records_of_parquet(spark, tmp_path):
+    path = str(tmp_path / "x.parquet")
+    rows = [(dt.date(2015, 1, 2), "a"), (None, "b")]
+    spark.createDataFrame(rows, "`the.date` date, k string").write.parquet(path)
+    records = read_records(spark, path, "THE.DATE")
+    assert [r.k for r in records.good.collect()] == ["a"]
+    assert [(r.reason, r.record) for r in records.bad.collect()] == [("no date", ",b")]
