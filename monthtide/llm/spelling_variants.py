@@ -34,16 +34,17 @@ Defined results:
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from monthtide.llm.frames import ascii_lower, settle
+from monthtide.llm.words import mix
 
 #: Fixed value: a word is a run of these.
 RUN = r"[A-Za-zÀ-ÿ]+"
@@ -54,6 +55,8 @@ RATIO = 2
 SLIP = 97
 SAME_PARTS, LONGER_PARTS = 6, 4
 CROWD = 128
+#: Words that a task signs at a time.
+SLICE = 2_000
 
 
 def spelling_variants(
@@ -108,34 +111,29 @@ def word_counts(docs: DataFrame, id_col: str, text_col: str, slip: int | None =
 
 
 def near_words(words: DataFrame, crowd: int = CROWD) -> DataFrame:
-    """word, other, other_n: each word with each word one edit away."""
+    """word, other, other_n: each word with each word one edit away.
+
+    Signing a word costs less than moving its signatures, so it is done wherever they are used.
+    """
     signed = words.mapInArrow(
         _signatures, "signature long, longer boolean, length int, word string, n long"
     )
-    sizes = signed.groupBy("signature").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    met = settle(signed.join(sizes, "signature"))
-    few = met.where(F.col("size") <= crowd)
-    one = few.select("signature", "longer", "length", "word", "n")
-    two = few.select(
-        "signature",
-        F.col("longer").alias("other_longer"),
-        F.col("length").alias("other_length"),
-        F.col("word").alias("other"),
-        F.col("n").alias("other_n"),
-    )
-    # of equal lengths under the first kind of signature, one longer under the second
+    sizes = signed.groupBy("signature").agg(F.count(F.lit(1)).alias("size"))
+    crowds = settle(sizes.where(F.col("size") > crowd).select("signature"))
+    few = signed.join(crowds, "signature", "left_anti")
+    one, two = few.alias("one"), few.alias("two")
+    # of equal lengths under the first kind of signature, one longer under the second; the kind
+    # is part of the signature
     fits = (
-        (F.col("longer") == F.col("other_longer"))
-        & (F.abs(F.col("length") - F.col("other_length")) == F.col("longer").cast("int"))
-        & _one_edit("word", "other")
+        (F.col("one.signature") == F.col("two.signature"))
+        & (F.abs(F.col("one.length") - F.col("two.length")) == F.col("one.longer").cast("int"))
+        & _one_edit("one.word", "two.word")
     )
-    by_letters = one.join(two, (one["signature"] == two["signature"]) & fits)
-    crowded = settle(met.where(F.col("size") > crowd).select("word", "n").distinct())
-    return (
-        by_letters.select("word", "other", "other_n")
-        .union(_by_rests(crowded))
-        .distinct()
+    by_letters = one.hint("merge").join(two, fits).select(
+        "one.word", F.col("two.word").alias("other"), F.col("two.n").alias("other_n")
     )
+    crowded = signed.join(crowds, "signature", "left_semi").select("word", "n").distinct()
+    return by_letters.union(_by_rests(settle(crowded))).distinct()
 
 
 def _one_edit(a: str, b: str) -> Column:
@@ -154,52 +152,67 @@ def _by_rests(words: DataFrame) -> DataFrame:
         F.col("left").alias("other_left"), F.col("word").alias("other"), F.col("n").alias("other_n")
     )
     both = (F.col("left") == F.col("other_left")) & _one_edit("word", "other")
-    return keyed.join(others, both).select("word", "other", "other_n")
+    return keyed.hint("merge").join(others, both).select("word", "other", "other_n")
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All signatures of every word."""
+    """All signatures of every word, a few thousand words at a time."""
     same = list(combinations(range(SAME_PARTS), SAME_PARTS - 2))
     longer = list(combinations(range(LONGER_PARTS), LONGER_PARTS - 1))
     for batch in batches:
-        words = batch.column("word").to_pylist()
-        rows: dict[str, list] = {"signature": [], "longer": [], "length": [], "at": []}
-
-        def put(kind: bool, length: int, at: int, parts: list[bytes], choices: list) -> None:
-            own = len(words[at])
-            for choice in choices:
-                key = b"%d,%d,%s;" % (kind, length, bytes(choice)) + b";".join(parts[c] for c in choice)
-                rows["signature"].append(xxhash.xxh3_64_intdigest(key) - (1 << 63))
-                rows["longer"].append(kind)
-                rows["length"].append(own)
-                rows["at"].append(at)
-
-        for at, word in enumerate(words):
-            dimensions = [
-                f"{letter}{k}".encode() for letter, count in sorted(Counter(word).items()) for k in range(count)
-            ]
-            hashed = [xxhash.xxh3_64_intdigest(x) for x in dimensions]
-            put(False, len(word), at, _dealt(dimensions, hashed, SAME_PARTS), same)
-            parts = _dealt(dimensions, hashed, LONGER_PARTS)
-            put(True, len(word), at, parts, longer)
-            put(True, len(word) + 1, at, parts, longer)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(rows["signature"], pa.int64()),
-                pa.array(rows["longer"], pa.bool_()),
-                pa.array(rows["length"], pa.int32()),
-                *[batch.column(c).take(pa.array(rows["at"], pa.int64())) for c in ("word", "n")],
-            ],
-            ["signature", "longer", "length", "word", "n"],
-        )
+        for start in range(0, batch.num_rows, SLICE):
+            part = batch.slice(start, SLICE)
+            owner, hashed, length = _dimensions(part.column("word").to_pylist())
+            by_six = _dealt(owner, hashed, len(length), SAME_PARTS)
+            by_four = _dealt(owner, hashed, len(length), LONGER_PARTS)
+            made = [(False, length, by_six, same)]
+            made += [(True, length + more, by_four, longer) for more in (0, 1)]
+            signatures, kinds = [], []
+            for kind, told, parts, choices in made:
+                for number, choice in enumerate(choices):
+                    chosen = parts[:, choice].sum(axis=1, dtype=np.uint64)
+                    seed = mix((2 * told + kind).astype(np.uint64) * np.uint64(64) + np.uint64(number))
+                    signatures.append(mix(chosen ^ seed).view(np.int64))
+                    kinds.append(np.full(len(length), kind))
+            at = pa.array(np.tile(np.arange(len(length)), len(signatures)))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate(signatures)),
+                    pa.array(np.concatenate(kinds)),
+                    pa.array(length.astype(np.int32)).take(at),
+                    part.column("word").take(at),
+                    part.column("n").take(at),
+                ],
+                ["signature", "longer", "length", "word", "n"],
+            )
+
+
+def _dimensions(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every letter of every word: the word's place and a hash of (letter, occurrence).
+
+    Then the words' lengths.
+    """
+    known: dict[tuple[str, int], int] = {}
+    flat = []
+    for word in words:
+        times: dict[str, int] = {}
+        for letter in word:
+            k = times.get(letter, 0)
+            times[letter] = k + 1
+            flat.append(known.setdefault((letter, k), len(known)))
+    names = np.fromiter(
+        (xxhash.xxh3_64_intdigest(f"{letter}{k}") for letter, k in known), np.uint64, len(known)
+    )
+    length = np.fromiter(map(len, words), np.int64, len(words))
+    return np.repeat(np.arange(len(words)), length), names[np.array(flat, np.int64)], length
 
 
-def _dealt(dimensions: list[bytes], hashed: list[int], parts: int) -> list[bytes]:
-    """The dimensions of each part, in one order."""
-    dealt: list[list[bytes]] = [[] for _ in range(parts)]
-    for dimension, h in zip(dimensions, hashed):
-        dealt[h % parts].append(dimension)
-    return [b",".join(x) for x in dealt]
+def _dealt(owner: np.ndarray, hashed: np.ndarray, words: int, parts: int) -> np.ndarray:
+    """For each word and part the sum of the hashes of its dimensions there."""
+    out = np.zeros(words * parts, np.uint64)
+    part = ((hashed >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+    np.add.at(out, owner * parts + part, mix(hashed ^ (part + 1).astype(np.uint64)))
+    return out.reshape(words, parts)
 
 
 def _roots(formed: DataFrame) -> DataFrame:
