@@ -8,9 +8,13 @@ other as concurrent. Identifiers are derived from the response's, so reruns agre
 
 Rows are worked on where they are; nothing is shuffled.
 
+The target and the source's headers are kept character by character, but for line ends, which
+would end a field. A tag is read up to the next angle bracket, so that every pattern takes time
+in proportion to the page, whatever is left open in it.
+
 Defined results: a null url is the empty target, null html an empty page, a null date the
-epoch. Responses that repeat give derivatives that repeat. An empty table gives an empty
-result; other columns are ignored.
+epoch. Responses that repeat give derivatives that repeat. Pages are read whole, whatever their
+length. An empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -47,16 +51,17 @@ BLOCKS = set(
 )
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|template|noscript)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|</?([a-z][a-z0-9:-]*)[^>]*>"
-    r"|<[!?][^>]*>",
+    r"|<(script|style|template|noscript)\b[^<>]*>.*?(?:</\1\s*>|\Z)"
+    r"|</?([a-z][a-z0-9:-]*)[^<>]*>"
+    r"|<[!?][^<>]*>",
     re.DOTALL | re.IGNORECASE,
 )
-TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.DOTALL | re.IGNORECASE)
-LANGUAGE = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([^\"'\s>]*)", re.IGNORECASE)
-LINK = re.compile(r"<a\s(?:[^>]*?\s)?href\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
+TITLE = re.compile(r"<title\b[^<>]*>", re.IGNORECASE)
+TITLE_END = re.compile(r"</title\s*>", re.IGNORECASE)
+LANGUAGE = re.compile(r"<html\b[^<>]*?\blang\s*=\s*[\"']?([^\"'\s>]*)", re.IGNORECASE)
+LINK = re.compile(r"<a\s(?:[^<>]*?\s)?href\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 HIDDEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|template)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.DOTALL | re.IGNORECASE
+    r"<!--.*?(?:-->|\Z)|<(script|style|template)\b[^<>]*>.*?(?:</\1\s*>|\Z)", re.DOTALL | re.IGNORECASE
 )
 BLANKS = re.compile(r"[^\S\n]+")
 LINES = re.compile(r" ?\n[\n ]*")
@@ -78,6 +83,18 @@ def one_line(text: str) -> str:
     return " ".join(html.unescape(text).split())
 
 
+def bare(field: str) -> str:
+    """A field's value as it is, without the line ends that would end it."""
+    return field.replace("\r", "").replace("\n", "")
+
+
+def title_of(page: str) -> str:
+    """What the first title element holds, if it is closed."""
+    start = TITLE.search(page)
+    end = TITLE_END.search(page, start.end()) if start else None
+    return one_line(page[start.end() : end.start()]) if end else ""
+
+
 def links(page: str) -> list[str]:
     """Where a page's anchors lead, each once, in order."""
     found = (one_line(a or b or c) for a, b, c in LINK.findall(HIDDEN.sub(" ", page)))
@@ -95,13 +112,13 @@ def header_block(fields: list[tuple[str, str]]) -> str:
 def derivatives_of(response: dict) -> Iterator[dict]:
     """The metadata and the conversion record of one response."""
     page, source = response["payload"] or "", response["record_id"]
-    title, language = TITLE.search(page), LANGUAGE.search(page)
+    language = LANGUAGE.search(page)
     http = (response["http_headers"] or "").split("\r\n")
     fields = [
-        ("title", one_line(title.group(1)) if title else ""),
+        ("title", title_of(page)),
         ("language", one_line(language.group(1)) if language else ""),
-        ("http-status", one_line(http[0])),
-        *[("http-header", one_line(line)) for line in http[1:]],
+        ("http-status", bare(http[0])),
+        *[("http-header", bare(line)) for line in http[1:]],
         ("source-block-digest", response["block_digest"]),
         ("source-payload-digest", response["payload_digest"]),
         *[("outlink", x) for x in links(page)],
@@ -119,7 +136,7 @@ def derivatives_of(response: dict) -> Iterator[dict]:
                 ("WARC-Type", kind),
                 ("WARC-Record-ID", f"<{ids[kind]}>"),
                 ("WARC-Date", date),
-                ("WARC-Target-URI", one_line(response["target_uri"] or "")),
+                ("WARC-Target-URI", bare(response["target_uri"] or "")),
                 ("WARC-Refers-To", f"<{source}>"),
                 ("WARC-Concurrent-To", f"<{ids[other]}>"),
                 ("WARC-Block-Digest", own),

@@ -1,6 +1,9 @@
 import base64
 import gzip
 import hashlib
+import random
+import time
+from html.parser import HTMLParser
 
 import pytest
 from llm_data import documents
@@ -8,12 +11,24 @@ from tokenizers import Tokenizer
 
 from monthtide.llm.frames import table
 from monthtide.llm.token_counts import (
+    PATTERN,
+    VOCABULARY,
+    encoded_length,
     encoded_lengths,
+    encoding,
     length_histogram,
     length_quantiles,
     truncated_totals,
 )
-from monthtide.llm.warc import derivatives, plain_text, responses, write_warc
+from monthtide.llm.warc import (
+    BLOCKS,
+    derivatives,
+    derivatives_of,
+    derived_id,
+    plain_text,
+    responses,
+    write_warc,
+)
 
 ROWS = [(1, "Hello world"), (2, None), (3, ""), (4, "Hello world"), (None, "<|endoftext|> x"),
         (5, "é" * 3000), (6, "a" * 200_000), (7, "naïve 12345\n\n  text"), (8, " ")]
@@ -120,3 +135,96 @@ def test_files_round_trip(spark, tmp_path):
             assert rest[n : n + 4] == b"\r\n\r\n"
             data = rest[n + 4 :]
     assert sorted(found) == sorted((r.record_id, r.block) for r in records.collect())
+
+
+def test_long_runs_of_blanks_are_cut_where_the_pattern_cuts():
+    coder = encoding(VOCABULARY, PATTERN)
+    rng = random.Random(2)
+    parts = [" "] * 6 + ["\n", "\t", "\xa0", "　", "\r", "\x1c", "a", "bc", "1", "!", "é"]
+    for _ in range(5_000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(40)))
+        assert encoded_length(coder, text, rng.randrange(2, 5)) == len(coder.encode_ordinary(text))
+    for text in (" " * 5_000_000 + "a", "a" + " \n" * 2_500_000, " " * 5_000_000):
+        assert encoded_length(coder, text) > 0
+
+
+def test_long_blanks_in_a_table(spark):
+    docs = documents(spark, [(1, " " * 5_000_000 + "word"), (2, "word")])
+    got = {r["_c0"]: r.length for r in encoded_lengths(docs).collect()}
+    assert got[2] == 1 and got[1] > 10
+
+
+def test_targets_and_headers_stay_as_they_are():
+    url = "http://a.com/?a=1&copy=2&reg=3  x&#65;"
+    http = "HTTP/1.1 200 OK\r\nLocation: /?x=1&lt=5&amp;y\r\nX:  two  blanks\t&quot;"
+    made = list(derivatives_of({
+        "record_id": "urn:x", "target_uri": url + "\r\nInjected: yes", "date": None, "http_headers": http,
+        "payload": "<title>A &amp; B</title><a href='/?q=1&amp;copy=2'>x</a>", "block_digest": "b", "payload_digest": "p",
+    }))
+    for r in made:
+        assert f"WARC-Target-URI: {url}Injected: yes\r\n" in r["headers"]
+        assert "\r\nInjected" not in r["headers"]
+    lines = made[0]["block"].split("\r\n")
+    for line in http.split("\r\n")[1:]:
+        assert f"http-header: {line}" in lines
+    assert "http-status: HTTP/1.1 200 OK" in lines
+    assert "title: A & B" in lines and "outlink: /?q=1&copy=2" in lines
+
+
+@pytest.mark.parametrize("mark", ["<a ", "<script ", "<script>", "<!--", "<title>", "<html ", "<", "<a href=\"", "</title ", "<style "])
+def test_pages_of_nothing_but_open_tags(mark):
+    """A megabyte; time in proportion to the page."""
+    page = mark * (1_000_000 // len(mark))
+    start = time.perf_counter()
+    made = list(derivatives_of({
+        "record_id": "urn:x", "target_uri": "", "date": None, "http_headers": "", "payload": page,
+        "block_digest": "", "payload_digest": "",
+    }))
+    assert time.perf_counter() - start < 2 and len(made) == 2
+
+
+def test_derivatives_by_another_parser(spark):
+    """Texts and links of the given pages as Python's own HTML parser reads them."""
+
+    class Reader(HTMLParser):
+        def __init__(self, page):
+            super().__init__(convert_charrefs=True)
+            self.parts, self.links, self.skipped, self.title, self.in_title = [], [], 0, "", False
+            self.feed(page)
+            self.close()
+
+        def handle_starttag(self, tag, attrs):
+            if tag in ("script", "style", "template", "noscript"):
+                self.skipped += 1
+            elif tag in BLOCKS:
+                self.parts.append("\n")
+            self.in_title = tag == "title" or self.in_title
+            if tag == "a" and dict(attrs).get("href"):
+                self.links.append(" ".join(dict(attrs)["href"].split()))
+
+        def handle_endtag(self, tag):
+            if tag in ("script", "style", "template", "noscript"):
+                self.skipped = max(0, self.skipped - 1)
+            elif tag in BLOCKS:
+                self.parts.append("\n")
+            self.in_title = tag != "title" and self.in_title
+
+        def handle_data(self, data):
+            if not self.skipped:
+                self.parts.append(data)
+                self.title += data if self.in_title else ""
+
+    source = table(spark, "/root/testdata/sf0.001", "pages")
+    whole = {derived_id(r.url or "", f"response {r.page_id}"): r.html or "" for r in source.collect()}
+    records = derivatives(responses(source)).collect()
+    assert len(records) == 2 * source.count() >= 100
+    for r in records:
+        read = Reader(whole[r.refers_to])
+        if r.type == "conversion":
+            text = "".join(read.parts).replace("\r", "\n").replace("\xa0", " ")
+            lines = [" ".join(x.split()) for x in text.split("\n")]
+            assert r.block.split() == "\n".join(x for x in lines if x).split()
+        else:
+            fields = [x.split(": ", 1) for x in r.block.strip().split("\r\n")]
+            assert [v for k, v in fields if k == "outlink"] == list(dict.fromkeys(x for x in read.links if x))
+            assert [v for k, v in fields if k == "title"] == [x for x in [" ".join(read.title.split())] if x]
