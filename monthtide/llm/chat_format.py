@@ -7,9 +7,10 @@ the text. So no control string of a text survives, and ``<|`` occurs in the outp
 the template put it.
 
 Windows are turn-aligned. Prefix sums of the turns' tokens (words and ``TURN_TOKENS`` for the
-marks) lay the turns along a line; a window has the turns that begin within one stride of
-``budget - history - system`` tokens, so it exceeds its budget by less than its last turn.
-The system turn, if the conversation begins with one, is repeated at the head of each window.
+marks) lay the turns along a line; a window has the turns that begin within one stride, which is
+the budget less the history and the conversation's own system turn, so a window exceeds its
+budget by less than its last turn. The system turn, if the conversation begins with one, is
+repeated at the head of each window.
 Turns of the window before that begin within its last ``history`` tokens are repeated as
 context. The loss covers the texts of assistant turns, each in its own window only: targets
 that are repeated as history are masked.
@@ -18,7 +19,9 @@ Defined results:
 
 * Turns are ordered by turn, role and text, nulls first. Rows that repeat a turn are turns of
   their own. A null text or role is the empty string. A null conv_id is a conversation.
-* A system turn that isn't first is an ordinary turn.
+* A system turn that isn't first is an ordinary turn. So is one of more than ``system`` tokens,
+  which would leave a window no room: it is in the first window, like any long turn.
+* Texts of any length are taken whole.
 * An empty table gives an empty result. Extra columns are ignored.
 
 A conversation is read from its turns by windows that stream; one row has one window.
@@ -36,7 +39,8 @@ CONTROL = r"<(?=\||/?s>|</?SYS>>|(?:bos|eos|pad|unk|start_of_turn|end_of_turn)>)
 
 BUDGET = 512
 HISTORY = 128
-SYSTEM = 64
+#: The most tokens of a system turn that is repeated.
+SYSTEM = 256
 TURN_TOKENS = 4
 TARGET = "assistant"
 
@@ -72,8 +76,7 @@ def chat_windows(
     ``repeated`` is the number of turns at its head that an earlier window has. ``spans`` are the parts of ``formatted`` under the loss: arrays of start (from 0) and
     length, in code points.
     """
-    stride = budget - history - system
-    if stride <= 0 or history > stride:
+    if budget - history - system < max(history, 1):
         raise ValueError("the budget is too small for that history and system turn")
     rows = turns.select(
         F.col(conv_col).alias("conv_id"),
@@ -85,10 +88,19 @@ def chat_windows(
     rows = rows.withColumns(
         {"nth": F.row_number().over(conversation), "tokens": words(F.col("text")) + TURN_TOKENS}
     )
-    rows = rows.withColumn("head", (F.col("nth") == 1) & (F.col("role") == "system"))
+    rows = rows.withColumn(
+        "head", (F.col("nth") == 1) & (F.col("role") == "system") & (F.col("tokens") <= system)
+    )
+    first_tokens = F.first(F.when(F.col("head"), F.col("tokens"))).over(conversation)
     # where each turn begins on the line; the system turn has no place on it
     own = F.when(F.col("head"), 0).otherwise(F.col("tokens"))
-    rows = rows.withColumn("begins", F.sum(own).over(conversation) - own)
+    rows = rows.withColumns(
+        {
+            "begins": F.sum(own).over(conversation) - own,
+            "head_tokens": F.coalesce(first_tokens, F.lit(0)),
+        }
+    )
+    stride = F.lit(budget - history) - F.col("head_tokens")
     window = F.floor(F.col("begins") / stride)
     late = (F.col("begins") % stride >= stride - history) & ~F.col("head")
     repeats = F.when(late, F.array(window, window + 1)).otherwise(F.array(window))
@@ -96,11 +108,10 @@ def chat_windows(
         F.lit(TURN), escape(F.col("role")), F.lit(TEXT), escape(F.col("text")), F.lit(END)
     )
     first_piece = F.first(F.when(F.col("head"), piece)).over(conversation)
-    first_tokens = F.first(F.when(F.col("head"), F.col("tokens"))).over(conversation)
     rows = rows.select(
         "conv_id",
         F.coalesce(first_piece, F.lit("")).alias("head_piece"),
-        F.coalesce(first_tokens, F.lit(0)).alias("head_tokens"),
+        "head_tokens",
         F.explode(repeats).alias("window"),
         F.struct(
             "nth",

@@ -6,8 +6,9 @@ their whole normalised texts. The splitters hold at most ``LEAD`` characters and
 what Spark samples stays small however long the texts are.
 
 A text that makes up more than ``hot_share`` of the rows is hot; there can be no more than
-``1 / hot_share`` of those by hash. Their rows get a salt, so that they are dealt over many
-ranges, and a second pass merges the one survivor of each salt.
+``1 / hot_share`` of those by hash. Their rows get a salt by their place in the input, whatever
+their identifiers, so that they are dealt over many ranges, and a second pass merges the one
+survivor of each salt.
 
 Defined results:
 
@@ -81,6 +82,7 @@ def _judge(
             "id": F.col(id_name),
             "raw": F.col(text_name),
             "text": F.coalesce(F.col(text_name).cast("string"), F.lit("")),
+            "row": F.monotonically_increasing_id(),
         }
     )
     # Texts that are equal after lower-casing A-Z are equal after lower(), so this hash,
@@ -91,7 +93,7 @@ def _judge(
         {
             "lead": F.substring(F.lower(F.substring("text", 1, LEAD)), 1, LEAD),
             "hot": F.col("salts").isNotNull(),
-            "salt": F.coalesce(F.pmod(F.xxhash64("id"), "salts"), F.lit(0)),
+            "salt": F.coalesce(F.pmod(F.xxhash64("row"), "salts"), F.lit(0)),
         }
     )
     place = ["lead", "hash", "salt"]
@@ -106,6 +108,7 @@ def _judge(
     walked = sorted_rows.select(
         *kept_columns,
         "hot",
+        "salt",
         F.sha2("norm", 256).alias("text_sha256"),
         F.row_number().over(neighbours).alias("place"),
         F.first("id").over(neighbours).alias("keep_id"),
@@ -118,11 +121,16 @@ def _judge(
         *kept_columns, "keep_id", "group_size", (F.col("place") == 1).alias("kept"), "text_sha256"
     )
     best = F.max("keep_id") if keep == "largest" else F.min("keep_id")
+    firsts = walked.where("hot and place = 1")
+    merged = firsts.groupBy("norm", "text_sha256").agg(
+        best.alias("best"), F.sum("group_size").alias("size")
+    )
+    # of the salts whose survivor has the best identifier, the first has the group's
+    holds = F.min(F.when(F.col("keep_id").eqNullSafe(F.col("best")), F.col("salt")))
     merged = settle(
-        walked.where("hot and place = 1")
-        .groupBy("norm", "text_sha256")
-        .agg(best.alias("best"), F.sum("group_size").alias("size"))
-        .select("text_sha256", "best", "size")
+        firsts.join(merged, ["norm", "text_sha256"])
+        .groupBy("text_sha256")
+        .agg(holds.alias("best_salt"), F.first("best").alias("best"), F.first("size").alias("size"))
     )
     salted = (
         walked.where("hot")
@@ -131,7 +139,7 @@ def _judge(
             *kept_columns,
             F.col("best").alias("keep_id"),
             F.col("size").alias("group_size"),
-            ((F.col("place") == 1) & F.col("id").eqNullSafe(F.col("best"))).alias("kept"),
+            ((F.col("place") == 1) & (F.col("salt") == F.col("best_salt"))).alias("kept"),
             "text_sha256",
         )
     )

@@ -49,13 +49,14 @@ n AS (
          {len("<|turn|><|text|><|end|>")} + {_escaped("role")} + {_escaped("text")} AS chars
   FROM t
 ),
-h AS (SELECT *, nth = 1 AND role = 'system' AS head FROM n),
+h AS (SELECT *, nth = 1 AND role = 'system' AND tokens <= 256 AS head FROM n),
 b AS (
-  SELECT *, sum(CASE WHEN head THEN 0 ELSE tokens END) OVER (PARTITION BY conv_id ORDER BY nth)
+  SELECT *, 384 - coalesce(max(CASE WHEN head THEN tokens END) OVER (PARTITION BY conv_id), 0) AS stride,
+         sum(CASE WHEN head THEN 0 ELSE tokens END) OVER (PARTITION BY conv_id ORDER BY nth)
             - CASE WHEN head THEN 0 ELSE tokens END AS begins
   FROM h
 ),
-w AS (SELECT *, begins // 320 AS win, begins % 320 >= 192 AND NOT head AS late FROM b),
+w AS (SELECT *, begins // stride AS win, begins % stride >= stride - 128 AND NOT head AS late FROM b),
 own AS (SELECT DISTINCT conv_id, win FROM w),
 heads AS (
   SELECT w.conv_id, sum(w.chars) AS chars

@@ -47,6 +47,18 @@ def test_hot_text_is_salted(spark):
     assert got.where("kept").count() == 501
 
 
+@pytest.mark.parametrize("ids", [[None], [7], [7, None], [3, 3, 9, 9, None]])
+@pytest.mark.parametrize("keep", ["largest", "smallest"])
+def test_a_hot_text_whose_identifiers_repeat_or_lack(spark, ids, keep):
+    rows = [(ids[i % len(ids)], "hot") for i in range(600)] + [(1000 + i, f"t{i}") for i in range(300)]
+    got = content_sort(documents(spark, rows), keep=keep, hot_share=0.01)
+    hot = got.where("group_size > 1").collect()
+    known = [i for i in ids if i is not None]
+    want = (max if keep == "largest" else min)(known) if known else None
+    assert len(hot) == 600 and {(r.keep_id, r.group_size) for r in hot} == {(want, 600)}
+    assert [r.doc_id for r in hot if r.kept] == [want]
+
+
 def test_dropping_keeps_columns_and_rows(spark):
     docs = documents(spark, ROWS)
     got = drop_copies(docs)

@@ -1,8 +1,11 @@
 """Chat formatting, licence scans and url filters."""
 
 import hashlib
+import random
+import time
 from itertools import groupby
 
+import numpy as np
 import pytest
 from llm_data import documents
 from pyspark.sql import functions as F
@@ -92,6 +95,23 @@ def test_windows(spark):
         chat_windows(conversations(spark), budget=100, history=90)
 
 
+@pytest.mark.parametrize("system_words", [10, 200, 252, 253, 1000])
+def test_no_window_exceeds_its_budget_by_a_whole_turn(spark, system_words):
+    rng = random.Random(system_words)
+    turns = [(1, 0, "system", "s " * system_words, "w", 1)]
+    turns += [(1, 1 + i, ("user", "assistant")[i % 2], "t " * rng.randrange(90), "w", 1) for i in range(60)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string, window string, tokens int")
+    windows = sorted(chat_windows(df).collect(), key=lambda w: w.window)
+    retained = system_words <= 252
+    for w in windows:
+        parts = w.formatted.split("<|turn|>")[1:]
+        last = len(parts[-1].split("<|text|>")[1].removesuffix("<|end|>").split()) + 4
+        assert w.tokens < 512 + last
+        assert parts[0].startswith("system") == (retained or w.window == 0)
+    one = read_back(chat_windows(df)).first()
+    assert one.n_turns == 61
+
+
 def test_empty_conversations(spark):
     assert read_back(chat_windows(conversations(spark).where("false"))).count() == 0
 
@@ -294,3 +314,56 @@ def test_propagation(spark):
         assert got[f"{h}.org"].trust == pytest.approx(trust[h], abs=1e-7)
         assert got[f"{h}.org"].distrust == pytest.approx(distrust[h], abs=1e-7)
     assert {h for h in hosts if got[f"{h}.org"].verdict == "block"} == {"bad", "farm", "hub"}
+
+
+def test_propagation_on_a_large_graph(spark):
+    """Five hundred hosts, hubs and hosts without links among them, against the fixed point."""
+    rng = random.Random(5)
+    n = 500
+    counts = {}
+    for a in range(n):
+        if a % 7 == 3:
+            continue
+        for _ in range(60 if a % 50 == 0 else rng.randrange(1, 6)):
+            b = rng.choice([rng.randrange(n), 10 * rng.randrange(n // 10)])
+            if a != b:
+                counts[a, b] = counts.get((a, b), 0) + 1
+    pages_of = {a: [] for a in range(n)}
+    for (a, b), k in counts.items():
+        pages_of[a] += [f'<a href="//h{b}.org/{i}">x</a>' for i in range(k)]
+    # a page or two for each host; some hosts are only linked to
+    rows = [(2 * a, f"http://h{a}.org/{'bad' if a % 9 == 0 else ''}", "".join(x)) for a, x in pages_of.items() if a % 11 or x]
+    rows += [(2 * a + 1, f"http://h{a}.org/bad", None) for a in range(0, n, 18) if a % 11 or pages_of[a]]
+    good = {a for a in range(1, n, 13)}
+    rules = [Rule("allow", f"h{a}.org") for a in sorted(good)] + [Rule("block", "org", "/bad")]
+    got = {r.host: r for r in judged_urls(pages(spark, rows), rules).collect()}
+
+    flow = np.zeros((n, n))
+    for (a, b), k in counts.items():
+        flow[a, b] = k
+    onward = flow / np.maximum(flow.sum(1, keepdims=True), 1)
+    back = flow / np.maximum(flow.sum(0, keepdims=True), 1)
+    seeds = np.zeros((2, n))
+    for a in range(n):
+        own = [u for _, u, _ in rows if u.startswith(f"http://h{a}.org/")]
+        longer = a in good and len(f"h{a}.org/") > len("org/bad")
+        allowed = [a in good and (longer or not u.endswith("bad")) for u in own]
+        blocked = [u.endswith("bad") and not longer for u in own]
+        if own:
+            seeds[:, a] = np.mean(allowed), np.mean(blocked)
+    trust = np.linalg.solve(np.eye(n) - 0.85 * onward.T, 0.15 * seeds[0])
+    distrust = np.linalg.solve(np.eye(n) - 0.85 * back, 0.15 * seeds[1])
+    hosts = {int(h[1:-4]): r for h, r in got.items()}
+    assert len(hosts) > 400 and seeds[0].any() and seeds[1].any()
+    for a, r in hosts.items():
+        assert r.trust == pytest.approx(trust[a], abs=1e-7)
+        assert r.distrust == pytest.approx(distrust[a], abs=1e-7)
+        wanted = distrust[a] >= 0.05 and distrust[a] > trust[a]
+        assert abs(distrust[a] - 0.05) < 1e-6 or r.rule or (r.verdict == "block") == wanted
+
+
+def test_links_of_a_page_of_nothing_but_open_tags(spark):
+    rows = [(1, "http://a.org/", "<a " * 350_000), (2, "http://a.org/", "<a href=//b.org>")]
+    start = time.perf_counter()
+    assert [tuple(r) for r in host_links(pages(spark, rows)).collect()] == [("a.org", "b.org", 1)]
+    assert time.perf_counter() - start < 20
