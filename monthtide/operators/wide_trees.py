@@ -28,7 +28,7 @@ from monthtide.operators.models import SEED, check_depth
 from monthtide.operators.moments import LABEL
 from monthtide.shared import Workspace
 
-# With more values in a level than this, prefix sums are taken over ranges of them.
+# With more rows than this, prefix sums are taken over ranges of their values.
 RANGED_FROM = 200_000
 # So many levels are routed anew from the last written rows.
 REROUTED = 3
@@ -135,27 +135,25 @@ def grow(
     work = work or Workspace(training.sparkSession)
     by_category = "category_idx" in training.columns
     rows = _planted(training, trees, bootstrap, by_category, seed)
-    thresholds = work.settle(_thresholds(training))
+    # a number for each month, and one
+    months, size = training.agg(
+        F.sort_array(F.collect_set(F.col("id").cast("double"))), F.count(F.lit(1))
+    ).first()
+    if not size:
+        raise ValueError("no rows to fit")
+    ranged = size > RANGED_FROM
     nodes: list[DataFrame] = []
     lefts: list[DataFrame] = []
     held: list[DataFrame] = []
     try:
-        size = None
         for level in range(max_depth + 1):
             if level and level % REROUTED == 0:
                 rows = work.settle(rows)
             values = _values(rows, by_category, all_features, seed).persist()
             held.append(values)
-            if size is None:
-                # levels differ little in how many values they have
-                size = values.count()
-                if not size:
-                    raise ValueError("no rows to fit")
-            grown = _best(_running(values, size > RANGED_FROM, work), level < max_depth)
-            at_month = (F.col("feature") == MONTH) & (F.col("value") == F.col("at"))
-            found = Observation()
+            found, grown = Observation(), _best(_running(values, ranged, work), level < max_depth)
             grown = work.settle(
-                grown.join(thresholds, at_month, "left")
+                grown.withColumn("threshold", _threshold(months))
                 .select(*NODE, "mean", "feature", "threshold", "place", "tie")
                 .observe(found, F.count("feature").alias("splits"))
             )
@@ -208,11 +206,11 @@ def _planted(
     return weighted.where("w > 0")
 
 
-def _thresholds(training: DataFrame) -> DataFrame:
-    """at, threshold: half way from each month number to the next; as many rows as months."""
-    months = training.select(F.col("id").cast("double").alias("at")).distinct()
-    following = F.lead("at").over(Window.orderBy("at"))
-    return months.select("at", ((F.col("at") + following) / 2).alias("threshold"))
+def _threshold(months: list[float]) -> Column:
+    """Half way from the month number of a cut to the next one of the training set."""
+    middles = F.array(*[F.lit((a + b) / 2) for a, b in zip(months, [*months[1:], months[-1]])])
+    place = F.array_position(F.array(*[F.lit(m) for m in months]), F.col("value"))
+    return F.when(F.col("feature") == MONTH, F.get(middles, (place - 1).cast("int")))
 
 
 def _values(rows: DataFrame, by_category: bool, all_features: bool, seed: int) -> DataFrame:
