@@ -73,6 +73,45 @@ SENTENCES: Mapping[str, str] = {
         "the gnu general public license as published by the free software foundation either "
         "version 3 of the license or at your option any later version"
     ),
+    "gpl-2-free": (
+        "this program is free software you can redistribute it and or modify it under the terms of "
+        "the gnu general public license as published by the free software foundation either "
+        "version 2 of the license or at your option any later version"
+    ),
+    "gpl-2-only-free": (
+        "this program is free software you can redistribute it and or modify it under the terms of "
+        "the gnu general public license version 2 as published by the free software foundation"
+    ),
+    "lgpl-21-free": (
+        "this library is free software you can redistribute it and or modify it under the terms of "
+        "the gnu lesser general public license as published by the free software foundation either "
+        "version 2 1 of the license or at your option any later version"
+    ),
+    "lgpl-3-free": (
+        "this program is free software you can redistribute it and or modify it under the terms of "
+        "the gnu lesser general public license as published by the free software foundation either "
+        "version 3 of the license or at your option any later version"
+    ),
+    "agpl-3-free": (
+        "this program is free software you can redistribute it and or modify it under the terms of "
+        "the gnu affero general public license as published by the free software foundation either "
+        "version 3 of the license or at your option any later version"
+    ),
+    "mpl-2-notice": (
+        "this source code form is subject to the terms of the mozilla public license v"
+    ),
+    "isc-grant": (
+        "permission to use copy modify and or distribute this software for any purpose with or "
+        "without fee is hereby granted provided that the above copyright notice and this "
+        "permission notice appear in all copies"
+    ),
+    "boost-notice": "distributed under the boost software license version 1 0",
+    "zlib-as-is": "this software is provided as is without any express or implied warranty",
+    "unlicense": "this is free and unencumbered software released into the public domain",
+    "wtfpl": (
+        "everyone is permitted to copy and distribute verbatim or modified copies of this license "
+        "document and changing it is allowed as long as the name is changed"
+    ),
     "gpl-hope": (
         "this program is distributed in the hope that it will be useful but without any warranty "
         "without even the implied warranty of merchantability or fitness for a particular purpose"
@@ -91,6 +130,11 @@ SENTENCES: Mapping[str, str] = {
         "conditions and the following disclaimer in the documentation and or other materials "
         "provided with the distribution"
     ),
+    "bsd-endorse": (
+        "neither the name of the copyright holder nor the names of its contributors may be used to "
+        "endorse or promote products derived from this software without specific prior written "
+        "permission"
+    ),
     "cc-by-nc-4-notice": "licensed under cc by nc 4 0",
     "cc-by-sa-4-notice": "licensed under cc by sa 4 0",
     "cc-by-4-notice": "licensed under cc by 4 0",
@@ -98,12 +142,26 @@ SENTENCES: Mapping[str, str] = {
     "reserved": "all rights reserved",
 }
 
+#: Licences that a file may name on a line of its own.
+SPDX = (
+    "MIT Apache-2.0 BSD-2-Clause BSD-3-Clause GPL-2.0-only GPL-2.0-or-later GPL-3.0-only "
+    "GPL-3.0-or-later LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0-only LGPL-3.0-or-later "
+    "AGPL-3.0-only AGPL-3.0-or-later MPL-2.0 EPL-2.0 ISC BSL-1.0 Zlib Unlicense WTFPL CC0-1.0 "
+    "CC-BY-4.0 CC-BY-SA-4.0 CC-BY-NC-4.0"
+).split()
+SENTENCES = dict(SENTENCES) | {
+    f"spdx-{x}": "spdx license identifier " + re.sub(r"[^a-z0-9]+", " ", x.lower()) for x in SPDX
+}
+
 #: Licence and the sentence identifiers that state it, in the order in which rules apply.
 RULES: Sequence[tuple[str, Sequence[str]]] = (
     ("Apache-2.0", ("apache-notice-the", "apache-compliance", "apache-copy", "apache-as-is", "apache-see")),
     ("MIT", ("mit-grant", "mit-condition", "as-is", "no-liability")),
+    ("BSD-3-Clause", ("bsd-redistribution", "bsd-source", "bsd-binary", "bsd-endorse")),
     ("BSD-2-Clause", ("bsd-redistribution", "bsd-source", "bsd-binary")),
     ("GPL-3.0-or-later", ("gpl-free", "gpl-hope", "gpl-details")),
+    ("GPL-2.0-or-later", ("gpl-2-free", "gpl-hope", "gpl-details")),
+    ("GPL-2.0-only", ("gpl-2-only-free", "gpl-hope", "gpl-details")),
     ("Apache-2.0", ("apache-notice-the", "apache-compliance")),
     ("MIT", ("mit-grant", "mit-condition")),
     ("GPL-3.0-or-later", ("gpl-free",)),
@@ -118,6 +176,18 @@ RULES: Sequence[tuple[str, Sequence[str]]] = (
     ("CC-BY-SA-4.0", ("cc-by-sa-4-notice",)),
     ("CC-BY-4.0", ("cc-by-4-notice",)),
     ("CC0-1.0", ("cc0-notice",)),
+    ("GPL-2.0-or-later", ("gpl-2-free",)),
+    ("GPL-2.0-only", ("gpl-2-only-free",)),
+    ("LGPL-2.1-or-later", ("lgpl-21-free",)),
+    ("LGPL-3.0-or-later", ("lgpl-3-free",)),
+    ("AGPL-3.0-or-later", ("agpl-3-free",)),
+    ("MPL-2.0", ("mpl-2-notice",)),
+    ("ISC", ("isc-grant",)),
+    ("BSL-1.0", ("boost-notice",)),
+    ("Zlib", ("zlib-as-is",)),
+    ("Unlicense", ("unlicense",)),
+    ("WTFPL", ("wtfpl",)),
+    *((x, (f"spdx-{x}",)) for x in SPDX),
     ("proprietary", ("reserved",)),
 )
 

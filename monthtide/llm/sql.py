@@ -88,39 +88,81 @@ def _rewritten(sequence: str) -> str:
     return sequence
 
 
+_BLANK = r"[ \t\n\x0b\f\r]"
+_LONGEST = max(map(len, SENTENCES.values()))
+
 OP6 = rf"""
-WITH known(id, sentence) AS (VALUES {", ".join(f"('{i}', '{x}')" for i, x in SENTENCES.items())}),
-cut AS (
-  SELECT row_number() OVER () AS r, doc_id,
-         regexp_split_to_array(
-           regexp_replace(coalesce(text, ''), '([.!?:;])[ 	
-
-]+', '' || chr(10), 'g'),
-           '[
-
-]+') AS parts
+WITH RECURSIVE known(id, sentence) AS MATERIALIZED (
+  VALUES {", ".join(f"('{i}', '{x}')" for i, x in SENTENCES.items())}
+),
+t AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, lower(coalesce(text, '')) AS low
   FROM documents
 ),
-s AS (
-  SELECT r, unnest(parts) AS part, generate_subscripts(parts, 1) AS nth FROM cut
+pieces AS (
+  SELECT r, unnest(regexp_split_to_array(
+    regexp_replace(text, '([.!?:;]){_BLANK}+', '\1' || chr(10), 'g'), '[\r\n]+')) AS piece FROM t
 ),
-n AS (
-  SELECT r, nth, trim(regexp_replace(lower(part), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) AS sentence FROM s
+counted AS (
+  SELECT r, count(*) FILTER (regexp_matches(piece, '[\p{{L}}\p{{N}}]')) AS n_sentences FROM pieces GROUP BY r
+),
+runs AS (
+  SELECT r, regexp_extract_all(low, '[\p{{L}}\p{{N}}]+') AS words,
+         regexp_extract_all(low, '[^\p{{L}}\p{{N}}]+') AS gaps,
+         CAST(regexp_matches(low, '^[^\p{{L}}\p{{N}}]') AS INTEGER) AS shift
+  FROM t
+),
+-- each word with the gap before it: a hard cut, a soft one, or none
+cut_words AS (
+  SELECT r, i, words[i] AS word,
+         CASE WHEN i = 1 OR regexp_matches(gap, '^[^\r\n]*[.!?]{_BLANK}')
+                OR regexp_matches(replace(gap, chr(13) || chr(10), chr(10)), '^[^\r\n]*[\r\n][^\r\n]*[\r\n]') THEN 2
+              WHEN regexp_matches(gap, '[\r\n]|[:;]{_BLANK}') THEN 1 ELSE 0 END AS cut
+  FROM (SELECT r, i, words, gaps[i - 1 + shift] AS gap FROM runs, unnest(range(1, len(words) + 1)) AS u(i))
+),
+numbered AS (
+  SELECT r, i, word, cut, sum(CAST(cut > 0 AS INTEGER)) OVER (PARTITION BY r ORDER BY i) AS part
+  FROM cut_words
+),
+parts AS MATERIALIZED (
+  SELECT r, part, string_agg(word, ' ' ORDER BY i) AS words, max(cut) = 2 AS hard
+  FROM numbered GROUP BY r, part
+),
+-- parts in a row, across soft cuts, as long as a known sentence begins with them
+spans(r, first, last, words) AS (
+  SELECT r, part, part, words FROM parts
+  WHERE length(words) <= {_LONGEST} AND EXISTS (SELECT 1 FROM known WHERE starts_with(sentence, words))
+  UNION ALL
+  SELECT s.r, s.first, p.part, s.words || ' ' || p.words
+  FROM spans s JOIN parts p ON p.r = s.r AND p.part = s.last + 1 AND NOT p.hard
+  WHERE length(s.words) + length(p.words) < {_LONGEST}
+    AND EXISTS (SELECT 1 FROM known WHERE starts_with(sentence, s.words || ' ' || p.words))
+),
+longest AS MATERIALIZED (
+  SELECT r, first, max(last) AS last, max_by(id, last) AS id
+  FROM spans JOIN known ON words = sentence GROUP BY r, first
+),
+-- from the left, each taking its parts
+taken(r, nth, last, id) AS (
+  SELECT r, 1, min_by(last, first), min_by(id, first) FROM longest GROUP BY r
+  UNION ALL
+  SELECT x.r, any_value(x.nth) + 1, min_by(l.last, l.first), min_by(l.id, l.first)
+  FROM taken x JOIN longest l ON l.r = x.r AND l.first > x.last GROUP BY x.r
 ),
 g AS (
-  SELECT n.r, count(*) FILTER (n.sentence <> '') AS n_sentences,
-         coalesce(string_agg('<' || id || '>', '' ORDER BY nth), '') AS recognised
-  FROM n LEFT JOIN known ON n.sentence = known.sentence GROUP BY n.r
+  SELECT r, string_agg('<' || id || '>', '' ORDER BY nth) AS recognised FROM taken GROUP BY r
 ),
 f AS (
-  SELECT *, regexp_extract_all({_rewritten("recognised")}, '#([^;]+);', 1) AS found FROM g
+  SELECT r, doc_id, n_sentences, coalesce(recognised, '') AS recognised,
+         regexp_extract_all({_rewritten("coalesce(recognised, '')")}, '#([^;]+);', 1) AS found
+  FROM t JOIN counted USING (r) LEFT JOIN g USING (r)
 ),
 e AS (SELECT r, unnest(found) AS name, generate_subscripts(found, 1) AS nth FROM f),
 d AS (SELECT r, name, min(nth) AS nth FROM e GROUP BY r, name),
 l AS (SELECT r, string_agg(name, ',' ORDER BY nth) AS licenses FROM d GROUP BY r)
 SELECT doc_id, n_sentences, recognised, coalesce(licenses, '') AS licenses,
        CAST(len(found) AS BIGINT) AS matches
-FROM f JOIN cut USING (r) LEFT JOIN l USING (r)
+FROM f LEFT JOIN l USING (r)
 """
 
 

@@ -5,13 +5,16 @@ import random
 import time
 from itertools import groupby
 
+import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from llm_data import documents
 from pyspark.sql import functions as F
 
 from monthtide.llm.chat_format import chat_windows, escape, read_back, unescape, words
-from monthtide.llm.license_scan import scan_licenses
+from monthtide.llm import sql
+from monthtide.llm.license_scan import SENTENCES, scan_licenses
 from monthtide.llm.url_filter import RULES, Rule, host_links, judged_urls
 
 
@@ -112,6 +115,70 @@ def test_no_window_exceeds_its_budget_by_a_whole_turn(spark, system_words):
     assert one.n_turns == 61
 
 
+FREE = """{0} is free software; you can redistribute it and/or
+modify it under the terms of the GNU {1} as published by the Free Software
+Foundation{2}.
+
+{0} is distributed in the hope that it will be useful,
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+ENDORSE = """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+LATER = "; either version {} of the License, or (at your option)\nany later version"
+
+
+@pytest.mark.parametrize("text, want", [
+    (BSD, "BSD-2-Clause"), (BSD + ENDORSE, "BSD-3-Clause"), (BSD + ENDORSE + "\n" + BSD, "BSD-3-Clause,BSD-2-Clause"),
+    (FREE.format("This program", "General Public License", LATER.format(2)), "GPL-2.0-or-later"),
+    (FREE.format("This program", "General Public License", LATER.format(3)), "GPL-3.0-or-later"),
+    (FREE.format("This program", "General Public License version 2", ""), "GPL-2.0-only"),
+    (FREE.format("This library", "Lesser General Public License", LATER.format("2.1")), "LGPL-2.1-or-later"),
+    (FREE.format("This program", "Lesser General Public License", LATER.format(3)), "LGPL-3.0-or-later"),
+    (FREE.format("This program", "Affero General Public License", LATER.format(3)), "AGPL-3.0-or-later"),
+    ("// This Source Code Form is subject to the terms of the Mozilla Public\n// License, v. 2.0. If a copy", "MPL-2.0"),
+    ("Distributed under the Boost Software License, Version 1.0.\n(See", "BSL-1.0"),
+    ("This is free and unencumbered software released into the public domain.", "Unlicense"),
+    ("# SPDX-License-Identifier: BSD-3-Clause\nimport os", "BSD-3-Clause"),
+    ("/* SPDX-License-Identifier: GPL-2.0-only */", "GPL-2.0-only"), ("SPDX-License-Identifier: MIT OR ISC", ""),
+])
+def test_licences_apart(spark, text, want):
+    commented = "\n".join(f" * {line}" for line in text.split("\n"))
+    rows = scan_licenses(documents(spark, [(1, text), (2, commented)])).collect()
+    assert [r.licenses for r in rows] == [want, want]
+
+
+def test_licence_sql_states_the_same(spark):
+    """Wrapped, commented and hostile texts by the query and by its SQL."""
+    rng = random.Random(3)
+    known = list(SENTENCES.values())
+    texts = [BSD, BSD + ENDORSE, MIT_WRAPPED, "", None, "# SPDX-License-Identifier: MIT\r\nx", "...", "All rights reserved"]
+    for _ in range(150):
+        parts = []
+        for _ in range(rng.randrange(1, 6)):
+            words = rng.choice([*known, "some other text", "x", ""]).split(" ")
+            parts.append("".join(w + rng.choice([" "] * 6 + ["\n", ": ", "\n * ", ", ", "; ", ". ", "\r\n"]) for w in words))
+        texts.append("".join(p + rng.choice(["", ".", "\n", "\n\n", ".\n", "! ", "\r\n\r\n", "\r\n//\r\n"]) for p in parts))
+    rows = list(enumerate(texts))
+    got = scan_licenses(documents(spark, rows)).collect()
+    connection = duckdb.connect()
+    connection.register("documents", pd.DataFrame(rows, columns=["doc_id", "text"]))
+    want = connection.sql(sql.OP6).fetchall()
+    assert sorted(map(tuple, got)) == sorted(want)
+    assert sum(r.matches for r in got) > 40
+
+
 def test_empty_conversations(spark):
     assert read_back(chat_windows(conversations(spark).where("false"))).count() == 0
 
