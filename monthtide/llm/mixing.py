@@ -29,14 +29,11 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from monthtide.llm.frames import seal, settle
-from monthtide.llm.words import slices, split
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
@@ -44,7 +41,9 @@ EPOCHS = 2
 BLOCK_WORDS = 200_000
 SHARDS = 64
 SEED = 20_260
-BROADCAST_SOURCES = 10_000
+#: A word is a run of anything but these.
+BLANKS = " \t\n\x0b\x0c\r"
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def water_fill(sizes: Sequence[int], weights: Sequence[float], total: float, most: float):
@@ -71,20 +70,17 @@ def _hash(*parts) -> Column:
     return F.xxhash64(*[F.lit(p) if isinstance(p, (int, str)) else p for p in parts])
 
 
+def words_in(text: Column) -> Column:
+    """The number of words, counted where the text is: each becomes one mark, blanks go."""
+    marks = F.regexp_replace(text, WORD, "#")
+    return F.coalesce(F.char_length(F.translate(marks, BLANKS, "")), F.lit(0)).cast("long")
+
+
 def with_sizes(docs: DataFrame, text_col: str) -> DataFrame:
     """``docs`` under internal column names and ``size``, the number of words."""
     sealed = seal(docs)
-    frame = sealed.frame.withColumn("_text", F.col(sealed.column(text_col)).cast("string"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "_text"):
-            _, ends = split(part.column("_text"), lower=False)
-            kept = part.drop_columns(["_text"])
-            sizes = pa.array(np.diff(ends, prepend=0).astype(np.int64))
-            yield pa.RecordBatch.from_arrays([*kept.columns, sizes], [*kept.schema.names, "size"])
-
-    size = T.StructField("size", T.LongType())
-    return frame.mapInArrow(run, T.StructType([*sealed.frame.schema.fields, size]))
+    text = F.col(sealed.column(text_col)).cast("string")
+    return sealed.frame.withColumn("size", words_in(text))
 
 
 def mix(
@@ -123,9 +119,7 @@ def mix(
     of_source = spark.createDataFrame(
         sources, "_source string, source_size long, target double, blocks long, goal long, number int"
     )
-    # The list of sources is sent to all tasks only up to a fixed length.
-    known = F.broadcast(of_source) if len(sources) <= BROADCAST_SOURCES else of_source
-    keyed = keyed.join(known, "_source").withColumn("_block", F.pmod("_draw", "blocks"))
+    keyed = keyed.join(of_source, "_source").withColumn("_block", F.pmod("_draw", "blocks"))
     # one row for each block and epoch, with the words before it in its source's stream
     blocks = keyed.groupBy("_source", "number", "blocks", "goal", "_block").agg(
         F.sum("size").alias("held")
@@ -197,16 +191,20 @@ def _shares(spark: SparkSession, quotas: dict[int, int], shards: int, seed: int)
     numbers = sorted(quotas)
     counts = [quotas[k] for k in numbers]
 
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for shard in batch["id"]:
+            for shard in batch.column("id").to_pylist():
                 start, stop = share_of(shard, counts, shards, seed)
-                yield pd.DataFrame(
-                    {"number": numbers, "shard": int(shard), "start": start, "stop": stop}
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(numbers, pa.int32()), pa.array([shard] * len(numbers), pa.int32()),
+                        pa.array(start, pa.int64()), pa.array(stop, pa.int64()),
+                    ],
+                    ["number", "shard", "start", "stop"],
                 )
 
     ids = spark.range(0, shards, 1, min(shards, max(1, shards * len(numbers) // 10_000)))
-    runs = ids.mapInPandas(walk, "number int, shard int, start long, stop long")
+    runs = ids.mapInArrow(walk, "number int, shard int, start long, stop long")
     return runs.where("stop > start").select(
         "number", "shard", F.explode(F.sequence("start", F.col("stop") - 1)).alias("rank")
     )
@@ -261,15 +259,24 @@ def mixed_documents(
     source_col: str = "source",
     **options,
 ) -> DataFrame:
-    """A row for each document: doc_id, size, source_size, target, taken."""
+    """A row for each document: doc_id, size, source_size, target, taken, first_shard, shards.
+
+    ``first_shard`` is the output shard of its first draw, null if it is never drawn, and
+    ``shards`` in how many shards it is: what the tree deals.
+    """
     rows = docs.select(F.col(id_col), F.col(text_col), F.col(source_col))
     sized = settle(with_sizes(rows, text_col).select("_c0", "_c2", "size"))
     draws, sources = mix(sized, "_c0", "_c2", **options)
-    taken = draws.select("_c0", "_c2", "size", "words").withColumn("row", F.lit(0))
-    none = sized.select("_c0", "_c2", "size", F.lit(0).cast("long").alias("words"), F.lit(1).alias("row"))
+    dealt = F.struct("epoch", "shard").alias("dealt")
+    taken = draws.select("_c0", "_c2", "size", "words", dealt, F.lit(0).alias("row"))
+    none = sized.select(
+        "_c0", "_c2", "size", F.lit(0).cast("long").alias("words"),
+        F.lit(None).cast(taken.schema["dealt"].dataType).alias("dealt"), F.lit(1).alias("row"),
+    )
     # A document's rows meet by identifier; rows that repeat all three are told apart by count.
     per = taken.union(none).groupBy("_c0", "_c2", "size").agg(
-        F.sum("words").alias("taken"), F.sum("row").alias("rows")
+        F.sum("words").alias("taken"), F.sum("row").alias("rows"),
+        F.min("dealt").alias("first"), F.collect_set("dealt.shard").alias("shards"),
     )
     each = per.withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
     part = F.floor(F.col("taken") / F.col("rows"))
@@ -286,6 +293,8 @@ def mixed_documents(
             "source_size",
             "target",
             (part + F.when(F.col("nth") <= rest, 1).otherwise(0)).cast("long").alias("taken"),
+            F.col("first.shard").cast("int").alias("first_shard"),
+            F.size("shards").alias("shards"),
         )
     )
 

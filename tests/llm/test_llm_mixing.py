@@ -4,8 +4,11 @@ from collections import defaultdict
 import numpy as np
 import pytest
 from llm_data import documents, sentence, words
+from pyspark.sql import functions as F
 
 from monthtide.llm.mixing import (
+    SEED,
+    _hash,
     _hypergeometric,
     mixed_documents,
     mixed_shards,
@@ -103,3 +106,58 @@ def test_empty_tables(spark):
     nothing = documents(spark, [(1, None), (2, " ")])
     assert [r.taken for r in mixed_documents(nothing).collect()] == [0, 0]
     assert mixed_shards(nothing).count() == 0
+
+
+@pytest.mark.parametrize("shards", [1, 5, 64])
+def test_shards_of_documents_follow_from_the_tree(spark, shards):
+    """Worked out anew: blocks by hash, streams in order, quotas by target, ranks by the tree."""
+    rows = [r for r in corpus(400) if r[0] is not None and r[0] < 400 and r[0] != 3]
+    docs = documents(spark, rows)
+    block_words, epochs = 60, 2
+    got = {r.doc_id: r for r in mixed_documents(docs, block_words=block_words, shards=shards).collect()}
+
+    size = {i: len(words(t)) for i, t, *_ in rows}
+    sizes = defaultdict(int)
+    for i, _, _, s in rows:
+        sizes[s] += size[i]
+    order = sorted(sizes, key=lambda s: s.encode())
+    targets = water_fill([sizes[s] for s in order], [(3, 1, 2)[i % 3] for i in range(len(order))], 1.5 * sum(sizes.values()), 2)
+    blocks = {s: max(1, -(-sizes[s] // block_words)) for s in order}
+    frame = spark.createDataFrame([(i, blocks[s]) for i, _, _, s in rows], "id long, blocks long")
+    place = F.pmod(F.pmod(_hash(SEED, F.col("id"), "block"), F.lit(1 << 40)), "blocks")
+    block_of = {r.id: r.block for r in frame.select("id", place.alias("block")).collect()}
+    held = defaultdict(int)
+    for i, _, _, s in rows:
+        held[s, block_of[i]] += size[i]
+    keys = [(e, b) for e in range(epochs) for b in range(max(blocks.values()))]
+    hashed = spark.createDataFrame(keys, "epoch int, block long").select(
+        "epoch", "block", _hash(SEED, F.col("epoch"), F.col("block"), "stream").alias("h")
+    )
+    h = {(r.epoch, r.block): r.h for r in hashed.collect()}
+    streams = {}
+    for s, target in zip(order, targets):
+        goal, before, stream = min(int(target + 0.5), epochs * sizes[s]), 0, []
+        own = [b for t, b in held if t == s]
+        for e, b in sorted(((e, b) for e in range(epochs) for b in own), key=lambda x: (x[0], h[x], x[1])):
+            if before < goal:
+                stream.append((e, b))
+            before += held[s, b]
+        while stream and not held[s, stream[-1][1]]:
+            stream.pop()
+        streams[s] = stream
+    shard_of = {}
+    for shard in range(shards):
+        start, stop = share_of(shard, [len(streams[s]) for s in order], shards, SEED)
+        for s, a, b in zip(order, start, stop):
+            for e, block in streams[s][a:b]:
+                shard_of[s, e, block] = shard
+    for i, _, _, s in rows:
+        drawn = [(e, shard_of[s, e, block_of[i]]) for e in range(epochs) if (s, e, block_of[i]) in shard_of]
+        r = got[i]
+        last = streams[s][-1]
+        cut = any((e, block_of[i]) == last for e, _ in drawn)
+        if size[i] and drawn and not cut:
+            assert r.first_shard == min(drawn)[1] and r.shards == len({x for _, x in drawn})
+        elif not drawn or not size[i]:
+            assert r.first_shard is None and r.shards == 0 and r.taken == 0
+    assert {r.first_shard for r in got.values()} - {None} <= {*shard_of.values()}
