@@ -52,7 +52,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthtide.llm.frames import seal, settle
+from monthtide.llm.frames import batches_of, seal, settle
 from monthtide.llm.words import mix, slices, split, window_hashes
 
 WINDOW = 8
@@ -60,6 +60,8 @@ MIN_LITERALS = 4
 MIN_ITEM = 6
 MIN_COVERAGE = 0.5
 FILTER_BITS = 1 << 23
+#: Rows of texts that a task hands to Python at a time.
+TEXT_ROWS = 2_000
 
 LITERAL, NUMBER, NAME, UNIT, NOTHING = range(5)
 PLACEHOLDERS = np.array([0, 0x6E756D, 0x6E616D65, 0x756E6974], np.uint64)
@@ -279,11 +281,15 @@ def contaminated(
         F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")
     ).withColumn("text_key", F.xxhash64("text"))
     kind = texts.schema["doc_id"].dataType.simpleString()
-    windows = texts.mapInArrow(
-        run,
-        f"doc_id {kind}, text_key long, doc_pos int, size int, hash long, "
-        "doc_plain boolean, doc_slots array<string>",
-    )
+    with batches_of(docs.sparkSession, TEXT_ROWS):
+        windows = settle(
+            texts.mapInArrow(
+                run,
+                f"doc_id {kind}, text_key long, doc_pos int, size int, hash long, "
+                "doc_plain boolean, doc_slots array<string>",
+            )
+        )
+    shared.destroy()
     matches = windows.join(of_items, ["hash", "size"]).select(
         "doc_id", "text_key", "item_id", "tokens",
         F.struct(

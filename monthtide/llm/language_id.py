@@ -5,9 +5,9 @@ Features are letter n-grams of one to four bytes of the lower-cased whole text,
 against the rest for each family, one for each pair of languages of a family. A text's score
 under a machine is the mean weight of its n-grams, so tasks never build a feature vector.
 
-The machines learn from a sample of at most ``per_language`` labelled rows of each of the
-``max_languages`` most frequent labels; the sample is chosen by a hash of the text, so reruns
-agree. Every row is predicted. Identifier, label and source never enter a prediction.
+The machines learn from a sample of at most ``per_language`` different labelled texts of each
+label, fewer with so many labels that ``sample`` would be passed, but ``LEAST`` of each; it is
+chosen by a hash of the text, so reruns agree. Every row is predicted. Identifier, label and source never enter a prediction.
 
 Defined results:
 
@@ -31,7 +31,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from monthtide.llm.frames import seal
 from monthtide.llm.words import slices
@@ -40,7 +39,10 @@ UND = "und"
 BINS = 1 << 12
 ORDERS = (1, 2, 3, 4)
 PER_LANGUAGE = 500
-MAX_LANGUAGES = 64
+#: Rows of the sample, 16 KB each on the driver, and the least of each label.
+SAMPLE, LEAST = 16_000, 20
+#: Bytes of text and rows of features that a task works on at a time.
+SLICE_BYTES, SLICE_ROWS = 1 << 19, 256
 FOLDS = 5
 
 FAMILIES = {
@@ -83,27 +85,29 @@ def fit(
     label_col: str = "lang",
     families: dict[str, Sequence[str]] = FAMILIES,
     per_language: int = PER_LANGUAGE,
-    max_languages: int = MAX_LANGUAGES,
+    sample: int = SAMPLE,
 ) -> Model:
     """Learn from rows with text and label; the sample's size is bounded by the parameters."""
     rows = labelled.select(
         F.col(text_col).cast("string").alias("text"), F.col(label_col).cast("string").alias("lang")
     ).where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counted = (
-        rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
-    )
+    key = F.xxhash64("text", "lang")
+    rows = rows.withColumn("key", key)
+    # copies of a text count once
+    counted = rows.groupBy("lang").agg(F.approx_count_distinct("key").alias("count")).collect()
     if not counted:
         return Model({}, [], np.zeros((BINS, 0), np.float32))
+    each = min(per_language, max(LEAST, sample // len(counted)))
     # By hash, about half as many again as needed; then exactly the first of those.
     grain = 1 << 30
-    most = {r["lang"]: int(min(grain, 1 + 1.5 * grain * per_language / r["count"])) for r in counted}
+    most = {r["lang"]: int(min(grain, 1 + 1.5 * grain * each / max(1, r["count"]))) for r in counted}
     limit = F.create_map(*[F.lit(x) for pair in most.items() for x in pair])
-    key = F.xxhash64("text", "lang")
     drawn = (
-        rows.where(F.col("lang").isin(list(most)))
-        .where(F.pmod(key, F.lit(grain)) < limit[F.col("lang")])
-        .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(key, "text")))
-        .where(F.col("place") <= per_language)
+        rows.where(F.pmod("key", F.lit(grain)) < limit[F.col("lang")])
+        .groupBy("lang", "key")
+        .agg(F.min("text").alias("text"))
+        .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("key")))
+        .where(F.col("place") <= each)
         .select("text", "lang")
     )
     sample = drawn.mapInArrow(_features, "lang string, features binary").toArrow()
@@ -167,32 +171,35 @@ SCALE = 16.0
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` under internal column names, followed by lang_pred and score."""
+    """``docs`` under internal column names, followed by lang_pred and score.
+
+    Only the texts go to Python; rows wait where they are.
+    """
     sealed = seal(docs)
-    text = sealed.column(text_col)
-    frame = sealed.frame.withColumn("_text", F.col(text).cast("string"))
     # Plain values: tasks unpickle a broadcast without this package.
     plain = (model.families, [(m.first, m.second, m.bias) for m in model.machines], model.weights)
     shared = docs.sparkSession.sparkContext.broadcast(plain)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def judged(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         families, machines, weights = shared.value
         held = Model(families, [Machine(*m) for m in machines], weights)
-        for part in slices(batches, "_text"):
-            lang, score = _predict(held, part.column("_text"))
-            kept = part.drop_columns(["_text"])
-            yield pa.RecordBatch.from_arrays(
-                [*kept.columns, lang, score], [*kept.schema.names, "lang_pred", "score"]
+        for batch in batches:
+            column = pa.RecordBatch.from_arrays([batch], ["text"])
+            found = [_predict(held, x.column("text")) for x in slices([column], "text", SLICE_BYTES)]
+            langs = [lang for lang, _ in found] or [pa.array([], pa.string())]
+            scores = [score for _, score in found] or [pa.array([], pa.float64())]
+            yield pa.StructArray.from_arrays(
+                [pa.concat_arrays(langs), pa.concat_arrays(scores)], ["lang_pred", "score"]
             )
 
-    schema = T.StructType(
-        [
-            *sealed.frame.schema.fields,
-            T.StructField("lang_pred", T.StringType()),
-            T.StructField("score", T.DoubleType()),
-        ]
+    judge = F.arrow_udf(judged, "lang_pred string, score double")
+    text = F.col(sealed.column(text_col)).cast("string")
+    rows = sealed.frame.withColumn("_judged", judge(text))
+    return rows.select(
+        *sealed.frame.columns,
+        F.col("_judged.lang_pred").alias("lang_pred"),
+        F.col("_judged.score").alias("score"),
     )
-    return frame.mapInArrow(run, schema)
 
 
 def predicted_languages(
@@ -255,7 +262,11 @@ def _grams(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches, "text"):
+    for part in (
+        x.slice(k, SLICE_ROWS)
+        for x in slices(batches, "text", SLICE_BYTES)
+        for k in range(0, x.num_rows, SLICE_ROWS)
+    ):
         counts = np.zeros(part.num_rows * BINS, np.float32)
         for bins, owner in _grams(part.column("text")):
             counts += np.bincount(owner * BINS + bins, minlength=len(counts)).astype(np.float32)

@@ -114,3 +114,15 @@ def test_several_languages_of_a_family(spark):
     assert model.families == {"germanic": ["de", "nl", "sv"]} and len(model.machines) == 3
     got = identify(docs.select("lang", "text"), model).collect()
     assert all(r["_c0"] == r.lang_pred for r in got)
+
+
+def test_every_label_is_learned(spark):
+    """Seventy labels, one of them mostly copies of three texts."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda k: letters[k % 26] + letters[k // 26] * 2 + letters[(7 * k) % 26]
+    rows = [(k * 50 + i, f"{word(k)} {word(k)} {i}", f"l{k:02d}", None) for k in range(70) for i in range(6)]
+    rows += [(10_000 + i, f"copied text number {letters[i % 3]}", "l69", None) for i in range(2_000)]
+    model = fit(documents(spark, rows), families={}, sample=400)
+    assert model.languages == [f"l{k:02d}" for k in range(70)]
+    got = identify(documents(spark, rows[:420]).select("lang", "text"), model).collect()
+    assert all(r["_c0"] == r.lang_pred for r in got)

@@ -3,6 +3,7 @@ import random
 from llm_data import documents, sentence
 
 import corpus_pipeline
+from monthtide import shared
 from monthtide.llm import registry, sql
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -44,3 +45,32 @@ def test_run_and_empty_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF_DIR)
         assert docs.count() == 0
+
+
+def test_nulls_ties_repeats_clashing_names_and_long_texts(spark):
+    rng = random.Random(8)
+    long = sentence(rng, 60_000)
+    rows = [(i, f"{sentence(rng, 40)} the and of", "en", "s0") for i in range(10, 40)]
+    rows += [
+        (1, long, "en", None), (2, long + " tail", "en", "s0"), (None, sentence(rng, 50), "en", "s1"),
+        (3, sentence(rng, 45), None, None), (3, sentence(rng, 45), None, "s1"), (4, "Same words", "en", "s1"),
+        (4, "Same words", "en", "s1"), (5, "same WORDS", "en", "s1"), (6, None, None, None), (7, "", "en", "s0"),
+        (8, " \n", "en", "s0"), (None, None, None, None),
+    ]
+    docs = documents(spark, rows)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF_DIR)
+    assert docs.columns == documents(spark, rows).columns
+    left = [(r.doc_id, r.text) for r in docs.collect()]
+    assert sorted(left, key=str) == sorted(
+        [(i, t) for i, t, _, _ in rows if i is None and t or i in (1, 3) or i and i >= 10] + [(4, "Same words")], key=str
+    )
+    mixed = corpus_pipeline.mixing(spark, docs, SF_DIR)
+    assert mixed.columns[: len(docs.columns)] == docs.columns
+    assert {(r.doc_id, r.text) for r in mixed.collect()} <= set(left)
+
+
+def test_a_run_leaves_its_stages_results_only(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(shared, "shared_dir", lambda *_: str(tmp_path))
+    assert corpus_pipeline.run(spark, SF_DIR).count() > 100
+    assert len(list((tmp_path / "monthtide").iterdir())) == len(corpus_pipeline.STAGES)
