@@ -10,7 +10,16 @@
    mix_shard, mix_place and mix_words, with a row for each time a document is drawn.
 
 Each stage sees all that the one before it kept. Its result is written as Parquet in the
-shared folder and read again, so a lost executor costs a stage's tasks at most.
+shared folder and read again, so a lost executor costs a stage's tasks at most; what a stage
+wrote besides is removed when it ends.
+
+Defined results: null, empty and letterless texts go in the first stage. A null identifier is
+smaller than none for the second stage, no member of a group for the third, and judged by its
+text in the fourth. Of rows that repeat an identifier and a text one stays; of rows that repeat
+an identifier with different texts those stay that each stage keeps by their text, or by their
+identifier where it decides by group. Ties go to the smallest identifier. Texts of any length
+are read whole. Extra columns, whatever their names, come out as they went in. Of an empty
+table an empty one is left.
 """
 
 from __future__ import annotations
@@ -19,10 +28,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from monthtide.llm.decontamination import drop_contaminated
 from monthtide.llm.exact_dedup import drop_copies
-from monthtide.llm.frames import settle, table
+from monthtide.llm.frames import table
 from monthtide.llm.jaccard_join import drop_near_copies
 from monthtide.llm.language_id import keep_identified
 from monthtide.llm.mixing import mixed_shards
+from monthtide.shared import scratch
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,5 +70,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = settle(stage(spark, docs, sf_dir))
+        with scratch(spark) as work:
+            docs = work.keep(stage(spark, docs, sf_dir))
     return docs
