@@ -34,7 +34,7 @@ Defined results:
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -55,6 +55,8 @@ RATIO = 2
 SLIP = 97
 SAME_PARTS, LONGER_PARTS = 6, 4
 CROWD = 128
+#: The edit distance of words of more letters would take the square of their length.
+LONG = 256
 #: Words that a task signs at a time.
 SLICE = 2_000
 
@@ -113,6 +115,20 @@ def word_counts(docs: DataFrame, id_col: str, text_col: str, slip: int | None =
 def near_words(words: DataFrame, crowd: int = CROWD) -> DataFrame:
     """word, other, other_n: each word with each word one edit away.
 
+    Very long words are compared in another way, in time in proportion to their length.
+    """
+    length = F.char_length("word")
+    usual = _near(words.where(length <= LONG), crowd, _one_edit)
+    # one of the usual ones may be a letter shorter than a long one
+    long = _near(words.where(length >= LONG), crowd, _one_edit_of_long)
+    return usual.union(long)
+
+
+def _near(
+    words: DataFrame, crowd: int, one_edit: Callable[[str, str], Column]
+) -> DataFrame:
+    """The near words, by signatures or, in crowds, by what is left of them.
+
     Signing a word costs less than moving its signatures, so it is done wherever they are used.
     """
     signed = words.mapInArrow(
@@ -127,20 +143,40 @@ def near_words(words: DataFrame, crowd: int = CROWD) -> DataFrame:
     fits = (
         (F.col("one.signature") == F.col("two.signature"))
         & (F.abs(F.col("one.length") - F.col("two.length")) == F.col("one.longer").cast("int"))
-        & _one_edit("one.word", "two.word")
+        & one_edit("one.word", "two.word")
     )
     by_letters = one.hint("merge").join(two, fits).select(
         "one.word", F.col("two.word").alias("other"), F.col("two.n").alias("other_n")
     )
     crowded = signed.join(crowds, "signature", "left_semi").select("word", "n").distinct()
-    return by_letters.union(_by_rests(settle(crowded))).distinct()
+    return by_letters.union(_by_rests(settle(crowded), one_edit)).distinct()
 
 
 def _one_edit(a: str, b: str) -> Column:
     return F.levenshtein(F.col(a), F.col(b), 1) == 1
 
 
-def _by_rests(words: DataFrame) -> DataFrame:
+def _one_edit_of_long(a: str, b: str) -> Column:
+    """The same of words one of which is long: after the common beginning all but a letter agrees.
+
+    The beginning's length is found bit by bit.
+    """
+    x, y = F.col(a), F.col(b)
+    m, n = F.char_length(x), F.char_length(y)
+
+    def longer(known: Column, bit: Column) -> Column:
+        more = known + bit
+        same = F.substring(x, F.lit(1), more) == F.substring(y, F.lit(1), more)
+        return F.when((more <= F.least(m, n)) & same, more).otherwise(known)
+
+    bits = F.array(*[F.lit(1 << k) for k in reversed(range(30))])
+    common = F.aggregate(bits, F.lit(0), longer)
+    rest = lambda w, skip: F.substring(w, common + F.lit(1) + skip, F.lit((1 << 31) - 1))
+    agrees = rest(x, F.when(m < n, 0).otherwise(1)) == rest(y, F.when(n < m, 0).otherwise(1))
+    return (x != y) & (F.greatest(m, n) > LONG) & (F.abs(m - n) <= 1) & agrees
+
+
+def _by_rests(words: DataFrame, one_edit: Callable[[str, str], Column]) -> DataFrame:
     """As ``near_words``, by what is left of words without one letter, or with all of them."""
     places = F.sequence(F.lit(1), F.char_length("word"))
     rests = F.transform(places, lambda i: F.overlay("word", F.lit(""), i, F.lit(1)))
@@ -151,7 +187,7 @@ def _by_rests(words: DataFrame) -> DataFrame:
     others = keyed.select(
         F.col("left").alias("other_left"), F.col("word").alias("other"), F.col("n").alias("other_n")
     )
-    both = (F.col("left") == F.col("other_left")) & _one_edit("word", "other")
+    both = (F.col("left") == F.col("other_left")) & one_edit("word", "other")
     return keyed.hint("merge").join(others, both).select("word", "other", "other_n")
 
 

@@ -98,6 +98,21 @@ def test_long_words_and_empty_table(spark):
     assert empty.columns == ["word", "n", "n_near", "form", "form_n", "root"] and empty.count() == 0
 
 
+@pytest.mark.parametrize("crowd", [2, 128])
+def test_words_around_the_length_that_is_long(spark, crowd):
+    rng = random.Random(crowd)
+    words = set()
+    for length in (255, 256, 257, 400):
+        base = "".join(rng.choice("abc") for _ in range(length))
+        words.add(base)
+        for at in (0, 1, length // 2, length - 1):
+            words |= {base[:at] + base[at + 1 :], base[:at] + "z" + base[at:], base[:at] + "z" + base[at + 1 :]}
+        words |= {base + "z", base[1:] + "z", base[::-1]}
+    near = near_words(spark.createDataFrame([(w, 3) for w in sorted(words)], "word string, n long"), crowd)
+    got = {(r.word, r.other) for r in near.collect()}
+    assert got == {(a, b) for a in words for b in words if one_edit(a, b)} and len(got) > 100
+
+
 def test_all_variants_of_a_word_are_found(spark):
     word = "planet"
     letters = "abcdefghijklmnopqrstuvwxyz"
