@@ -116,8 +116,11 @@ def mix(
             "shard": F.lit(0), "place": F.lit(0).cast("long"), "words": F.lit(0).cast("long"),
         }
         return sized.withColumns(extra).where(F.lit(False)), empty
-    of_source = spark.createDataFrame(
-        sources, "_source string, source_size long, target double, blocks long, goal long, number int"
+    # Written, so that Spark knows its size when it chooses how to join the rows.
+    of_source = settle(
+        spark.createDataFrame(
+            sources, "_source string, source_size long, target double, blocks long, goal long, number int"
+        ).coalesce(1)
     )
     keyed = keyed.join(of_source, "_source").withColumn("_block", F.pmod("_draw", "blocks"))
     # one row for each block and epoch, with the words before it in its source's stream
