@@ -5,6 +5,7 @@ from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
 from data import events, months
+from monthtide.operators import features
 from monthtide.operators.features import (
     assemble,
     bin_count,
@@ -87,3 +88,12 @@ def test_future_months_roll_over(spark, last):
     rows = sorted(future_frame(start, last, 5, 36).collect(), key=lambda r: r.id)
     assert [r.id for r in rows] == [float(5 + i) for i in range(1, 37)]
     assert [r.month for r in rows] == months(last, 37)[1:]
+
+
+def test_the_series_is_indexed_in_as_many_parts_as_its_rows_ask_for(spark, monkeypatch):
+    """Its files are small, so Spark would broadcast the series and index it in one task."""
+    monkeypatch.setattr(features, "JOINED_ROWS", 20, raising=False)
+    series = build_series(gappy(spark, 60), "doctor")
+    assert series.bounds.rows > 100
+    parts = series.rows.groupBy(F.spark_partition_id().alias("part")).count().collect()
+    assert len(parts) > 4 and max(r["count"] for r in parts) < series.bounds.rows / 2
