@@ -7,6 +7,7 @@ from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
 from data import events, months, ramp
+from monthtide.operators import models, wide_trees
 from monthtide.operators.features import bin_count
 from monthtide.operators.models import COLUMNS, tree_estimator
 from monthtide.operators.tuning import tune_generalized_linear, tune_tree
@@ -64,3 +65,29 @@ def test_too_few_rows_for_the_categories(spark):
 def test_too_few_months_for_the_folds(spark, forecast):
     with pytest.raises(ValueError, match="too few"):
         forecast(build_series(ramp(spark, JAN, [1, 2])), 1)
+
+
+@pytest.mark.parametrize("depths, packed", [((3, 5, 7), 7), ((4, 2), 7), ((2, 9), 7), ((3, 5), 2)])
+def test_trees_of_very_many_categories(monkeypatch, spark, depths, packed):
+    """Grown as tables, all folds together; the scores, the choice and the model are the same."""
+    rng = random.Random(8)
+    counts = {
+        (f"d{k:02d}", m): rng.randint(1, 30) + 3 * (k % 5) + i // 2
+        for k in range(35) for i, m in enumerate(months(JAN, 20)) if rng.random() < 0.9
+    }
+    series = build_series(events(spark, counts), "doctor")
+    last, n = series.bounds.last_id, series.bounds.categories
+
+    def found():
+        tuned = tune_tree(series.frame, last, n, depths)
+        rows = tuned.model.transform(series.frame).select("category", "id", "prediction").collect()
+        return tuned, {(r.category, r.id): r.prediction for r in rows}
+
+    want, predicted = found()
+    monkeypatch.setattr(models, "WIDE_FROM", 30)
+    monkeypatch.setattr(wide_trees, "PACKED_DEPTH", packed)
+    got, rows = found()
+    assert isinstance(got.model, wide_trees.WideForest)
+    assert got.rmse == pytest.approx(want.rmse)
+    assert list(got.best.values()) == list(want.best.values())
+    assert rows == pytest.approx(predicted)

@@ -147,3 +147,32 @@ def test_wrong_arguments_and_no_rows(series):
                  lambda: wide_tree(series.frame.where("false"), 2)):
         with pytest.raises(ValueError):
             call()
+
+
+@pytest.mark.parametrize("packed", [(7, 2048), (2, 2048), (0, 0)])
+def test_a_forest_by_arrays_or_joins(monkeypatch, series, packed):
+    """Rows stay whole, with their places in all trees, down to a level of the depth that is told."""
+    want = values(wide_forest(series.frame, 4, 4).transform(series.frame))
+    monkeypatch.setattr(wide_trees, "PACKED_DEPTH", packed[0])
+    monkeypatch.setattr(wide_trees, "PACKED_NODES", packed[1])
+    assert values(wide_forest(series.frame, 4, 4).transform(series.frame)) == pytest.approx(want)
+
+
+def test_rows_of_a_category_stay_together(series):
+    """A task sums all of a category's rows; the rows are not written or dealt anew at each level."""
+    planted = wide_trees._planted(series.frame, F.array_repeat(F.lit(1.0), 3), True, 4)
+    assert planted.count() == series.frame.count()
+    places = planted.select("key", F.spark_partition_id().alias("part")).distinct()
+    assert places.count() == planted.select("key").distinct().count()
+
+
+def test_sparks_tree_and_forest_with_very_many_bins(monkeypatch, series):
+    bins = bin_count(series.bounds.last_id, 40)
+    train = series.frame.where("id < 20")
+    want = values(models.tree(train, 4, bins).transform(series.frame))
+    monkeypatch.setattr(models, "WIDE_FROM", 30)
+    tree, forest = models.tree(train, 4, bins), models.forest(train, 3, 4, bins, False, "all")
+    assert isinstance(tree, wide_trees.WideForest) and isinstance(forest, wide_trees.WideForest)
+    assert values(tree.transform(series.frame)) == pytest.approx(want)
+    assert values(forest.transform(series.frame)) == pytest.approx(want)
+    assert not isinstance(models.forest(train, 2, 2, bins), wide_trees.WideForest)
