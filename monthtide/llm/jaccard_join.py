@@ -39,7 +39,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from monthtide.llm.components import components
@@ -211,7 +211,7 @@ def _short_lists(
         levels = frequent.value
         for part in slices(batches, "text"):
             words, ends = split(part.column("text"), lower=True)
-            kept: dict[bool, list[np.ndarray]] = {False: [], True: []}
+            tokens, often = [], []
             for x in np.split(word_hashes(words), ends[:-1]):
                 x = similarity.shingles(x)
                 level = levels[x % COUNTERS]
@@ -219,30 +219,26 @@ def _short_lists(
                     order = np.argsort(level, kind="stable")
                     x, level = x[order], level[order]
                 take = len(x) - similarity.least(len(x)) + 1 if len(x) else 0
-                x, often = x[:take].view(np.int64), level[:take] > 0
-                kept[False].append(x[~often])
-                kept[True].append(x[often])
+                tokens.append(x[:take].view(np.int64))
+                often.append(level[:take] > 0)
+            docs = part.column("doc").to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc"), *[_lists(kept[often]) for often in (False, True)]],
-                ["doc", "rare", "often"],
+                [
+                    pa.array(np.repeat(docs, [len(x) for x in tokens]), pa.int64()),
+                    pa.array(np.concatenate(tokens), pa.int64()),
+                    pa.array(np.concatenate(often), pa.bool_()),
+                ],
+                ["doc", "token", "often"],
             )
 
-    held = texts.where("doc is not null").mapInArrow(
-        run, "doc long, rare array<long>, often array<long>"
-    )
-    # Rare tokens: lists are gathered, and most of them, with one document, go at once.
-    rare = (
-        held.select("doc", F.explode("rare").alias("token"))
-        .groupBy("token")
-        .agg(F.collect_list("doc").alias("docs"))
-        .where(F.size("docs") > 1)
-        .select("token", F.explode("docs").alias("doc"))
-    )
-    # Frequent tokens may have any number of documents: these are never gathered.
-    often = held.select("doc", F.explode("often").alias("token"))
+    held = texts.where("doc is not null").mapInArrow(run, "doc long, token long, often boolean")
+    # Of the rare tokens most have one document and go at once. Frequent tokens may have any
+    # number of documents: their rows are dealt by document too, so that they never meet.
+    dealt = F.when(F.col("often"), F.xxhash64("token", "doc")).otherwise(F.col("token"))
+    docs_of = F.count(F.lit(1)).over(Window.partitionBy(dealt))
     named = (
-        rare.select("token", "doc")
-        .union(often.select("token", "doc"))
+        held.select("token", "doc", "often", docs_of.alias("docs"))
+        .where("often or docs > 1")
         .join(rep_of, "doc")
         .select("token", "rep", "n")
         .distinct()
@@ -250,11 +246,6 @@ def _short_lists(
     return named
 
 
-def _lists(parts: list[np.ndarray]) -> pa.Array:
-    ends = np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts), pa.int64()))
-
-
 def _nearest(short: DataFrame, similarity: Similarity) -> DataFrame:
     """a, b: each class, and of the first classes of its lists that which it shares most with."""
     first = short.groupBy("token").agg(F.min(F.struct("rep", "n")).alias("first"))

@@ -7,7 +7,13 @@ import pytest
 from llm_data import ascii_lower, documents, sentence, words
 
 from monthtide.llm.components import components
-from monthtide.llm.jaccard_join import Similarity, drop_near_copies, jaccard_components
+from monthtide.llm.jaccard_join import (
+    COUNTERS,
+    Similarity,
+    _short_lists,
+    drop_near_copies,
+    jaccard_components,
+)
 from monthtide.llm.words import slices, split, word_hashes
 
 
@@ -127,6 +133,20 @@ def test_no_links(spark):
     assert sorted(map(tuple, got)) == [(1, 3, 1), (2, 2, 2)]
 
 
+def test_lists_are_made_in_one_pass_over_the_texts(spark):
+    """Rare and frequent tokens together: splitting and hashing the texts is most of the work."""
+    text = sentence(random.Random(5), 20)
+    # a text without partners leaves rows only where its tokens are frequent
+    rows = [(1, text), (2, text + " more"), (3, "a lonely text of eight quite different words")]
+    texts = spark.createDataFrame(rows, "doc long, text string")
+    rep_of = texts.selectExpr("doc", "doc as rep", "20L as n")
+    for level, docs in ((0, [1, 2]), (1, [1, 2, 3])):
+        frequent = spark.sparkContext.broadcast(np.full(COUNTERS, level, np.uint8))
+        lists = _short_lists(texts, Similarity(), frequent, rep_of)
+        assert sorted(r.rep for r in lists.select("rep").distinct().collect()) == docs
+        assert lists._jdf.queryExecution().sparkPlan().toString().count("MapInArrow") == 1
+
+
 def test_bounds_are_exact():
     s = Similarity()
     for m in range(1, 60):
